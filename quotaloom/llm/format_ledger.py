@@ -35,7 +35,7 @@ COUNTS = "bucket int, key binary, copies long, keep_id string, first_seen timest
 def canonical_text(text: Column) -> Column:
     """The sorted fields of a text joined by ``|``; empty if it has no word, null if it is null."""
     plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N},;|]+", " ")
-    fields = F.filter(F.transform(F.split(plain, "[,;|]"), F.trim), lambda f: f != "")
+    fields = F.filter(F.transform(F.split(plain, "[,;|]"), lambda f: F.trim(f)), lambda f: f != "")
     return F.array_join(F.array_sort(fields), "|")
 
 
