@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotaloom.llm import format_ledger, target_sample, term_counts
+from quotaloom.llm import bpe, format_ledger, splitting, target_sample, term_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +124,18 @@ def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("p6_sample")
 def p6_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drawn(spark, sf_dir)[0]
+
+
+# Problems 7 and 9: encoding, splitting
+
+RANK_FILE = os.environ.get("QUOTALOOM_RANKS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+
+
+@_query("p7_ids")
+def p7_ids(spark: SparkSession, sf_dir: str, rank_path: str = RANK_FILE) -> DataFrame:
+    return bpe.encode_corpus(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text", rank_path=rank_path)
+
+
+@_query("p9_pieces")
+def p9_pieces(spark: SparkSession, sf_dir: str, rank_path: str = RANK_FILE) -> DataFrame:
+    return splitting.split_corpus(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text", rank_path=rank_path, limit=512, overlap=64)
