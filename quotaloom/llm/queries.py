@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotaloom.llm import bpe, format_ledger, splitting, target_sample, term_counts
+from quotaloom.llm import bpe, format_ledger, leaks, splitting, target_sample, term_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -139,3 +139,33 @@ def p7_ids(spark: SparkSession, sf_dir: str, rank_path: str = RANK_FILE) -> Data
 @_query("p9_pieces")
 def p9_pieces(spark: SparkSession, sf_dir: str, rank_path: str = RANK_FILE) -> DataFrame:
     return splitting.split_corpus(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text", rank_path=rank_path, limit=512, overlap=64)
+
+
+# Problem 8: evaluation passages in training text
+
+_LEAKS_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+e AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM eval_items),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+11], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS i FROM d WHERE len(w) > 11)),
+h AS (SELECT DISTINCT item_id, array_to_string(w[i:i+11], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS i FROM e WHERE len(w) > 11))
+SELECT DISTINCT doc_id, item_id FROM g JOIN h USING (g)"""
+
+
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"), run=12)
+
+
+@_query("p8_found", _LEAKS_SQL)
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).filter(F.col("run") >= 12).select("doc_id", "item_id").distinct()
+
+
+@_query("p8_matches")
+def p8_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).withColumn("kind", F.when(F.col("run") >= 12, "phrase").otherwise("proximity"))
+
+
+@_query("p8_items", f"SELECT item_id, count(*) AS documents FROM ({_LEAKS_SQL}) GROUP BY item_id")
+def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _leaks(spark, sf_dir).filter(F.col("run") >= 12).select("doc_id", "item_id").distinct()
+    return found.groupBy("item_id").agg(F.count("*").alias("documents"))
