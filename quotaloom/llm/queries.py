@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotaloom.llm import bpe, format_ledger, leaks, splitting, target_sample, term_counts
+from quotaloom.llm import bpe, format_ledger, leaks, scripts, splitting, target_sample, term_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -169,3 +169,36 @@ def p8_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _leaks(spark, sf_dir).filter(F.col("run") >= 12).select("doc_id", "item_id").distinct()
     return found.groupBy("item_id").agg(F.count("*").alias("documents"))
+
+
+# Problem 4: look-alike characters
+
+_V = "aàảãáạăằẳẵắặâầẩẫấậbcdđeèẻẽéẹêềểễếệfghiìỉĩíịjklmnoòỏõóọôồổỗốộơờởỡớợpqrstuùủũúụưừửữứựvwxyỳỷỹýỵz"
+_V += _V.upper()
+_EAST = "\\p{Han}\\p{Hiragana}\\p{Katakana}\\p{Hangul}"
+_FOLD_SQL = f"""
+WITH v AS (SELECT DISTINCT 'generate_small' AS table_name, id AS row_key, 'entity' AS field, entity AS value FROM generate_small
+  UNION SELECT DISTINCT 'generate_small', id, 'street', street FROM generate_small
+  UNION SELECT 'province_alias', row_id::VARCHAR, 'alias', alias FROM province_alias),
+c AS (SELECT *, regexp_replace(nfc_normalize(value), '[\\p{{Cf}}\\x{{34F}}\\x{{180B}}-\\x{{180F}}\\x{{FE00}}-\\x{{FE0F}}]', '', 'g') AS plain FROM v WHERE value IS NOT NULL)
+SELECT DISTINCT table_name, row_key, field FROM c
+WHERE value <> nfc_normalize(value) OR plain <> nfc_normalize(value)
+  OR regexp_matches(replace(value, ' ', ''), '[\\p{{Z}}\\s\\x{{85}}]')
+  OR regexp_matches(value, '[\\x{{FF10}}-\\x{{FF19}}\\x{{FF21}}-\\x{{FF3A}}\\x{{FF41}}-\\x{{FF5A}}]')
+  OR regexp_matches(regexp_replace(value, '([{_EAST}])[\\x{{FF01}}-\\x{{FF0F}}\\x{{FF1A}}-\\x{{FF20}}]', '\\1', 'g'), '[\\x{{FF01}}-\\x{{FF0F}}\\x{{FF1A}}-\\x{{FF20}}]')
+  OR regexp_matches(plain, '[{_V}][\\p{{L}}\\p{{M}}\\p{{N}}]*' || '[^{_V}\\P{{L}}]') OR regexp_matches(plain, '[^{_V}\\P{{L}}][\\p{{L}}\\p{{M}}\\p{{N}}]*[{_V}]')"""
+
+
+def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = scripts.folded(_table(spark, sf_dir, "generate_small"), key="id", fields=["entity", "street"], table_name="generate_small")
+    return a.unionByName(scripts.folded(_table(spark, sf_dir, "province_alias"), key="row_id", fields=["alias"], table_name="province_alias"))
+
+
+@_query("p4_found", _FOLD_SQL)
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _folded(spark, sf_dir).filter("is_case").select("table_name", "row_key", "field").distinct()
+
+
+@_query("p4_folded")
+def p4_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _folded(spark, sf_dir)
