@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotaloom.llm import bpe, format_ledger, leaks, scripts, splitting, target_sample, term_counts
+from quotaloom.llm import bpe, format_ledger, leaks, near_dup, scripts, splitting, target_sample, term_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -202,3 +202,24 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("p4_folded")
 def p4_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _folded(spark, sf_dir)
+
+
+# Problem 1: near-duplicate records
+
+_NEAR_SQL = """
+WITH r AS (SELECT DISTINCT id, template_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM generate_small
+  WHERE id IS NOT NULL AND template_id IS NOT NULL AND text IS NOT NULL),
+g AS (SELECT DISTINCT id, template_id, w[i] || ' ' || w[i + 1] AS g FROM (SELECT *, unnest(range(1, len(w))) AS i FROM r)),
+n AS (SELECT id, template_id, count(*) AS n FROM g GROUP BY ALL),
+c AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS c FROM g a JOIN g b ON a.template_id = b.template_id AND a.g = b.g AND a.id < b.id GROUP BY ALL),
+p AS (SELECT id_a, id_b FROM c JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE 10 * c >= 7 * (x.n + y.n - c))
+"""
+
+
+def _near(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return near_dup.near_duplicates(_table(spark, sf_dir, "generate_small"), id_col="id", text_col="text", part_col="template_id", width=2, threshold=(7, 10))
+
+
+@_query("p1_found", _NEAR_SQL + "SELECT id_a, id_b FROM p")
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.record_pairs(*_near(spark, sf_dir))
