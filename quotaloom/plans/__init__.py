@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("references",)
+MODULES = ("references", "master")
 
 
 def load_all() -> None:
