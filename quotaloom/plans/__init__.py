@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("references", "master")
+MODULES = ("references", "master", "text")
 
 
 def load_all() -> None:
