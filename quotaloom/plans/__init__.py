@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("references", "master", "text")
+MODULES = ("references", "master", "text", "quota")
 
 
 def load_all() -> None:
