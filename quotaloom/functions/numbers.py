@@ -44,13 +44,13 @@ def below_thousand(n: int, leading: bool) -> str:
 
 
 def _table(leading: bool) -> Column:
-    return F.array(*[F.lit(below_thousand(n, leading)) for n in range(1000)])
+    return F.split(F.lit("|".join(below_thousand(n, leading) for n in range(1000))), r"\|")  # folded to a constant once
 
 
 def read_digits(s: Column) -> Column:
     """a string of digits, digit by digit; leading zeros are lost."""
     s = F.regexp_replace(s, "^0+(?=.)", "")
-    words = F.array(*[F.lit(d) for d in DIGITS])
+    words = F.split(F.lit("|".join(DIGITS)), r"\|")
     return F.array_join(F.transform(F.split(s, ""), lambda d: F.get(words, d.cast("int"))), " ")
 
 
@@ -64,7 +64,7 @@ def read_cardinal(s: Column) -> Column:
     def group(i: Column) -> Column:
         value = F.substring(padded, i * 3 + 1, F.lit(3)).cast("int")
         scale = n - i - 1
-        names = F.array(*[F.lit(x) for x in SCALES])
+        names = F.split(F.lit("|".join(SCALES)), r"\|")
         name = F.when(scale < len(SCALES), F.get(names, scale)).otherwise(F.trim(F.repeat(F.lit(SCALES[-1] + " "), scale - 2)))
         word = F.when(i == 0, F.get(lead, value)).otherwise(F.get(inner, value))
         return F.when((value > 0) | (i == 0), F.trim(F.concat_ws(" ", word, name)))

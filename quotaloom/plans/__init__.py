@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("references", "master", "text", "quota")
+MODULES = ("references", "master", "text", "quota", "generate")
 
 
 def load_all() -> None:
