@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("references", "master", "text", "quota", "generate", "quality")
+MODULES = ("references", "master", "text", "quota", "generate", "quality", "files")
 
 
 def load_all() -> None:

@@ -132,9 +132,9 @@ BOXES = [("a", -1.0, -1.0, 0.0, 0.0), ("b", -0.2, -0.2, 0.3, 0.3), ("c", 0.0, -0
 RINGS = {"p": [(-0.3, -0.3), (0.3, -0.3), (0.3, 0.3), (-0.3, 0.3)], "q": [(0.0, 0.0), (0.4, 0.1), (0.1, 0.4)], "r": [(-0.4, 0.0), (0.0, -0.4), (0.0, 0.4)]}
 _BOX_SQL = "boxes AS (SELECT * FROM (VALUES " + ", ".join(f"('{b[0]}', {b[1]}::DOUBLE, {b[2]}::DOUBLE, {b[3]}::DOUBLE, {b[4]}::DOUBLE)" for b in BOXES) + ") b(box, x0, y0, x1, y1))"
 _EDGES = [(k, *r[i], *r[(i + 1) % len(r)]) for k, r in RINGS.items() for i in range(len(r))]
-_EDGE_SQL = "edges AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', {ax}::DOUBLE, {ay}::DOUBLE, {bx}::DOUBLE, {by}::DOUBLE)" for k, ax, ay, bx, by in _EDGES) + ") e(area, ax, ay, bx, by))"
+_EDGE_SQL = "edges AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', {ax}::DOUBLE, {ay}::DOUBLE, {bx}::DOUBLE, {by}::DOUBLE)" for k, ax, ay, bx, by in _EDGES) + ") e(area, ax, ay, zx, zy))"
 _POINT_SQL = "pts AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, label FROM embeddings)"
-_IN_SQL = f"WITH {_POINT_SQL}, {_EDGE_SQL}, hits AS (SELECT vec_id, area FROM pts, edges WHERE (ay > y) <> (by > y) AND x < (bx - ax) * (y - ay) / CASE WHEN by <> ay THEN by - ay END + ax GROUP BY vec_id, area HAVING count(*) % 2 = 1), located AS (SELECT vec_id, min(area) AS area FROM hits GROUP BY vec_id)"
+_IN_SQL = f"WITH {_POINT_SQL}, {_EDGE_SQL}, hits AS (SELECT vec_id, area FROM pts, edges WHERE (ay > y) <> (zy > y) AND x < (zx - ax) * (y - ay) / CASE WHEN zy <> ay THEN zy - ay END + ax GROUP BY vec_id, area HAVING count(*) % 2 = 1), located AS (SELECT vec_id, min(area) AS area FROM hits GROUP BY vec_id)"
 
 
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
