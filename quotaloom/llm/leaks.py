@@ -24,12 +24,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from quotaloom.functions.words import words
 
 ANCHORS = 3
 MAX_ITEM_WORDS = 20_000_000
-MATCHES = "doc_id long, item_id long, run int, aligned int, doc_pos int, item_pos int"
 
 
 class _Vocabulary:
@@ -94,7 +94,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
     ``run`` is the longest stretch of equal words and ``aligned`` the number of equal words on the diagonal. Rows have
     either run >= ``run`` (an exact phrase) or at least ``run`` aligned words that make up ``near`` of the item (proximity).
     """
-    rows = items.select(F.col(item_id).cast("long"), words(F.col(item_text))).filter(F.col(item_id).isNotNull())
+    rows = items.select(F.col(item_id), words(F.col(item_text))).filter(F.col(item_id).isNotNull())
     rows = [(i, w) for i, w in rows.collect() if w]
     if sum(len(w) for _, w in rows) > MAX_ITEM_WORDS:
         raise ValueError("too many evaluation words for one search; search in blocks of items")
@@ -105,6 +105,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
     anchors = [(k, q, w[q]) for k, (_, w) in enumerate(coded) for q in anchor_positions(w, counts, run)]
     anchors.sort(key=lambda a: a[2])
     shared = docs.sparkSession.sparkContext.broadcast((terms, coded, anchors))
+    kinds = (docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString())
+    item_kind = to_arrow_type(items.schema[item_id].dataType)
+    schema = "doc_id {}, item_id {}, run int, aligned int, doc_pos int, item_pos int".format(*kinds)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, coded, anchors = shared.value
@@ -133,10 +136,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
                 out += _stretches(equal, lo, d, item, starts, run, near * len(w))
             if out:
                 doc = b.column(0).take(pa.array([o[0] for o in out]))
-                cols = [doc.cast(pa.int64()), pa.array([ids[o[1]] for o in out], pa.int64())] + [pa.array([o[j] for o in out], pa.int32()) for j in range(2, 6)]
+                cols = [doc, pa.array([ids[o[1]] for o in out], item_kind)] + [pa.array([o[j] for o in out], pa.int32()) for j in range(2, 6)]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "item_id", "run", "aligned", "doc_pos", "item_pos"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("w")).mapInArrow(search, MATCHES)
+    return docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("w")).mapInArrow(search, schema)
 
 
 def _stretches(equal: np.ndarray, lo: int, d: int, item: int, starts: np.ndarray, run: int, near: float) -> list[tuple]:

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotaloom.functions.words import words
-from quotaloom.workspace import cut
+from quotaloom.workspace import cut, drop, new_path
 
 BUCKETS = 1 << 18
 MAX_BITS = 1 << 28
@@ -218,7 +218,8 @@ def near_duplicates(df: DataFrame, *, id_col: str, text_col: str, part_col: str,
     still above the cap are joined whole, and adaptive execution splits them."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(part_col).cast("string").alias("_p"), F.array_join(words(F.col(text_col)), " ").alias("text"))
-    rows = rows.filter(F.col("id").isNotNull() & F.col("_p").isNotNull() & F.col("text").contains(" "))
+    long_enough = (F.col("text") != "") & (F.size(F.split("text", " ")) >= width)
+    rows = rows.filter(F.col("id").isNotNull() & F.col("_p").isNotNull() & long_enough)
     classed = _classes(rows.select("id", F.xxhash64("_p").alias("part"), "text"), width)
     members = cut(classed.groupBy("id").agg(F.min("cls").alias("cls")), "members")
     classes = cut(classed.groupBy("cls", "part").agg(F.min("text").alias("text")), "classes")
@@ -259,3 +260,50 @@ def record_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
     two = members.select(F.col("cls").alias("cls_b"), F.col("id").alias("y"))
     out = links.join(one, "cls_a").join(two, "cls_b").filter((F.col("cls_a") != F.col("cls_b")) | (F.col("x") < F.col("y")))
     return out.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+
+
+def components(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """(id, class_id, links): one row per record; class_id is the smallest id of its connected group, links the number of its
+    partners.
+
+    Classes are joined by alternating large-star and small-star steps, each of which only re-hangs links between
+    neighbours, so no component is ever gathered in one place and the number of rounds is logarithmic. Copies count as
+    partners of one another.
+    """
+    pairs = cut(pairs, "pairs")
+    sizes = members.groupBy("cls").agg(F.count("*").alias("n"), F.min("id").alias("least"))
+    both = pairs.select(F.col("cls_a").alias("u"), F.col("cls_b").alias("v"))
+    both = both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    degree = both.join(sizes.select(F.col("cls").alias("v"), "n"), "v").groupBy(F.col("u").alias("cls")).agg(F.sum("n").alias("_d"))
+    root = roots(both)
+    named = sizes.join(root, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    name = named.groupBy("root").agg(F.min("least").alias("class_id"))
+    named = named.join(name, "root").join(degree, "cls", "left").select("cls", "class_id", (F.col("n") - 1 + F.coalesce("_d", F.lit(0))).alias("links"))
+    return members.join(named, "cls").select("id", "class_id", "links")
+
+
+def roots(edges: DataFrame) -> DataFrame:
+    """(cls, root) of every node of the undirected edges (u, v), given in both directions: root is its component's smallest node."""
+    spark = edges.sparkSession
+    edges = cut(edges.filter("u <> v").select("u", "v").distinct(), "edges")
+    before, written = None, ""
+    while True:
+        # large star: hang larger neighbours under the smallest neighbour or the node itself
+        least = edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = edges.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        # small star: hang the node and its smaller neighbours under the smallest of them
+        down = large.filter("v < u").distinct()
+        low = down.groupBy("u").agg(F.min("v").alias("m"))
+        small = down.join(low, "u")
+        out = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
+        path = new_path(spark, "stars")
+        out.write.parquet(path)
+        stars = spark.read.schema(out.schema).parquet(path)
+        if written:
+            drop(spark, written)
+        written = path
+        now = stars.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
+        if now == before:
+            return stars.select(F.col("u").alias("cls"), F.col("v").alias("root"))
+        before = now
+        edges = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -223,3 +223,18 @@ def _near(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 @_query("p1_found", _NEAR_SQL + "SELECT id_a, id_b FROM p")
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.record_pairs(*_near(spark, sf_dir))
+
+
+@_query("p1_groups", "WITH RECURSIVE " + _NEAR_SQL.strip()[5:] + """,
+e AS (SELECT id_a AS a, id_b AS b FROM p UNION ALL SELECT id_b, id_a FROM p),
+reach(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a)
+SELECT id, coalesce(least(id, (SELECT min(b) FROM reach WHERE a = id)), id) AS class_id, (SELECT count(*) FROM e WHERE a = id) AS links FROM (SELECT DISTINCT id FROM n)""")
+def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.components(*_near(spark, sf_dir))
+
+
+@_query("p1_documents")
+def p1_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents: five words, similarity 0.8, over all documents as one partition."""
+    docs = _table(spark, sf_dir, "documents").withColumn("everything", F.lit("all"))
+    return near_dup.components(*near_dup.near_duplicates(docs, id_col="doc_id", text_col="text", part_col="everything", width=5, threshold=(4, 5)))

@@ -9,9 +9,9 @@ cut,
 subject to size <= limit, where a part after the first starts about ``overlap`` tokens before the end of the one before,
 at a sentence start near that place, else at a word start. Penalties rise from paragraph over line, sentence and word end
 to a place inside a run of letters, and the last to a place inside a word. Weak boundaries are offered only in
-stretches of more than ``GAP`` tokens without a stronger one, where they can be needed.
+stretches of more than a quarter of the limit without a stronger one, where they can be needed.
 
-Inside a piece of the pattern longer than ``UNIT`` tokens (a text without blanks), cuts fall between code points; token counts
+Inside a piece of the pattern longer than an eighth of the limit (a text without blanks), cuts fall between code points; token counts
 there aren't sums, so such parts are encoded again and the text is cut anew with a lower limit until all parts fit.
 
 Cases: null and empty texts give no part. Texts up to the limit stay one part. Only the text's own columns are used, so
@@ -33,23 +33,22 @@ from quotaloom.llm.bpe import Encoder, broadcast_ranks, worker_encoder
 PARAGRAPH, LINE, SENTENCE, WORD, EDGE, INSIDE = range(6)
 PENALTY = (0.0, 1.0, 2.0, 6.0, 30.0, 200.0)
 BALANCE = 4.0
-GAP, UNIT = 128, 64
 _BREAKS = regex.compile(r"\r\n|[\n\r\x0b\x0c\x85  ]")
 _STOP = regex.compile(r"[.!?…。！？।][\"'”’»)\]]*$")
 
 
-def _units(text: str, enc: Encoder) -> tuple[list[int], list[int], list[bool], bool]:
+def _units(text: str, enc: Encoder, unit: int) -> tuple[list[int], list[int], list[bool], bool]:
     """(starts, sizes, whether the start is inside a piece, whether any piece was cut) of the smallest uncut stretches."""
     starts, sizes, inside, cut, at = [], [], [], False, 0
     for piece in enc.pieces(text):
         n = len(enc.cache[piece])
-        if n <= UNIT or len(piece) == 1:
+        if n <= unit or len(piece) == 1:
             starts.append(at)
             sizes.append(n)
             inside.append(False)
         else:
             cut = True
-            step = max(1, len(piece) * UNIT // (2 * n))
+            step = max(1, len(piece) * unit // (2 * n))
             for k in range(0, len(piece), step):
                 starts.append(at + k)
                 sizes.append(len(enc.encode(piece[k : k + step])))
@@ -111,7 +110,7 @@ def split_text(text: str, enc: Encoder, limit: int = 512, overlap: int = 64) ->
     """(start, end, tokens) of the parts, in code points."""
     if not text:
         return []
-    starts, sizes, inside, uncertain = _units(text, enc)
+    starts, sizes, inside, uncertain = _units(text, enc, max(1, limit // 8))
     total = np.concatenate([[0], np.cumsum(sizes)])
     if not uncertain and total[-1] <= limit:
         return [(0, len(text), int(total[-1]))]
@@ -133,16 +132,16 @@ def split_text(text: str, enc: Encoder, limit: int = 512, overlap: int = 64) ->
 
 def _plan(total: np.ndarray, kinds: list[int], limit: int, overlap: int) -> list[tuple[int, int]]:
     """(start, end) in units of the best parts."""
-    n = len(kinds) - 1
+    n, gap = len(kinds) - 1, max(1, limit // 4)
     sums = total.tolist()
     ends = [0]
     strong = [i for i in range(1, n + 1) if kinds[i] <= SENTENCE or i == n]
     for i in strong:  # weaker boundaries where strong ones are far apart, and the weakest where those are
         for level in (WORD, EDGE, INSIDE):
-            if sums[i] - sums[ends[-1]] <= GAP:
+            if sums[i] - sums[ends[-1]] <= gap:
                 break
             between, last = [j for j in range(ends[-1] + 1, i) if kinds[j] <= level], ends[-1]
-            if between and (level == INSIDE or max(sums[b] - sums[a] for a, b in zip([last, *between], [*between, i])) <= GAP):
+            if between and (level == INSIDE or max(sums[b] - sums[a] for a, b in zip([last, *between], [*between, i])) <= gap):
                 ends += between
                 break
         ends.append(i)

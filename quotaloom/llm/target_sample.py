@@ -34,6 +34,8 @@ def draw_to_targets(records: DataFrame, cells: DataFrame, *, record: str, keys:
     sample: the keys and the record id. report: the cell's columns with observed, quota, drawn, deficit; the quota is
     the target, raised to ``minimum`` for positive targets, and deficit is what the target lacks.
     """
+    own = ("observed", "quota", "drawn", "deficit", "_lo", "_hi")  # columns of the report; cells that bring such names lose them
+    cells = cells.drop(*own)
     once = records.select(F.col(record).alias("_id"), *[F.col(k).alias(k) for k in keys]).filter(F.col(record).isNotNull())
     once = cut(once.groupBy("_id").agg(*[F.min(k).alias(k) for k in keys]).withColumn("_u", unit_hash(F.col("_id"), F.lit(seed))), "records")
     observed = once.groupBy(*keys).agg(F.count("*").alias("observed"))
