@@ -116,6 +116,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
         a_item, a_pos, a_term = (np.array([a[j] for a in anchors], np.int64) for j in range(3))
         first, last = (np.searchsorted(a_term, np.arange(len(terms)), side) for side in ("left", "right"))
         longest = max((len(w) for w in texts), default=0)
+        table = np.full((len(texts), longest), -2, np.int64)
+        for k, w in enumerate(texts):
+            table[k, : len(w)] = w
         for b in batches:
             flat, starts = voc.numbers(b.column(1))
             # postings of the anchor terms, one row for each item position that the term anchors
@@ -126,14 +129,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
             diagonal = np.repeat(pos, n) - a_pos[which] + longest
             key = a_item[which] * (len(flat) + 2 * longest) + diagonal
             uniq, hits = np.unique(key, return_counts=True)  # one posting for each anchor position: the intersection's size
+            item, d = np.divmod(uniq[hits >= ANCHORS], len(flat) + 2 * longest)
             out = []
-            for k in uniq[hits >= ANCHORS].tolist():
-                item, d = divmod(k, len(flat) + 2 * longest)
-                d -= longest
-                w = texts[item]
-                lo, hi = max(0, -d), min(len(w), len(flat) - d)
-                equal = flat[d + lo : d + hi] == w[lo:hi]
-                out += _stretches(equal, lo, d, item, starts, run, near * len(w))
+            for k in _promising(flat, table, item, d - longest, run, near):
+                w, at = texts[item[k]], int(d[k]) - longest
+                lo, hi = max(0, -at), min(len(w), len(flat) - at)
+                out += _stretches(flat[at + lo : at + hi] == w[lo:hi], lo, at, int(item[k]), starts, run, near * len(w))
             if out:
                 doc = b.column(0).take(pa.array([o[0] for o in out]))
                 cols = [doc, pa.array([ids[o[1]] for o in out], item_kind)] + [pa.array([o[j] for o in out], pa.int32()) for j in range(2, 6)]
@@ -142,6 +143,24 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
     return docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("w")).mapInArrow(search, schema)
 
 
+def _promising(flat: np.ndarray, table: np.ndarray, item: np.ndarray, d: np.ndarray, run: int, near: float) -> list[int]:
+    """The diagonals with a long run or enough equal words, all compared at once in blocks of bounded size."""
+    out, width = [], table.shape[1]
+    block = max(1, 4_000_000 // max(1, width))
+    for at in range(0, len(item), block):
+        w = table[item[at : at + block]]
+        place = d[at : at + block, None] + np.arange(width)
+        equal = flat[np.clip(place, 0, len(flat) - 1)] == w
+        equal &= (place >= 0) & (place < len(flat))
+        now, best = np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
+        for q in range(width):
+            now = (now + 1) * equal[:, q]
+            np.maximum(best, now, out=best)
+        enough = np.maximum(run, near * (w >= 0).sum(1))
+        out += (np.flatnonzero((best >= run) | (equal.sum(1) >= enough)) + at).tolist()
+    return out
+
+
 def _stretches(equal: np.ndarray, lo: int, d: int, item: int, starts: np.ndarray, run: int, near: float) -> list[tuple]:
     """The matches on one diagonal, by document: (document, item, longest run, equal words, its place in document and item)."""
     hit = np.flatnonzero(equal)
