@@ -34,27 +34,62 @@ PARAGRAPH, LINE, SENTENCE, WORD, EDGE, INSIDE = range(6)
 PENALTY = (0.0, 1.0, 2.0, 6.0, 30.0, 200.0)
 BALANCE = 4.0
 _BREAKS = regex.compile(r"\r\n|[\n\r\x0b\x0c\x85  ]")
+STOPS, CLOSERS = ".!?…", "\"'”’»)]"
 _STOP = regex.compile(r"[.!?…。！？।][\"'”’»)\]]*$")
 
 
-def _units(text: str, enc: Encoder, unit: int) -> tuple[list[int], list[int], list[bool], bool]:
-    """(starts, sizes, whether the start is inside a piece, whether any piece was cut) of the smallest uncut stretches."""
-    starts, sizes, inside, cut, at = [], [], [], False, 0
-    for piece in enc.pieces(text):
-        n = len(enc.cache[piece])
-        if n <= unit or len(piece) == 1:
-            starts.append(at)
-            sizes.append(n)
-            inside.append(False)
-        else:
-            cut = True
+class _Pieces(dict):
+    """Numbers of the distinct pieces of the pattern, and per number its tokens, length and the kinds of its ends."""
+
+    BLANK_LETTER, BLANK, OTHER = range(3)  # how a piece starts
+    ALNUM, SPACE, WIDE, SIGN, STOP, CLOSER = range(6)  # how it ends
+
+    def __init__(self, enc: Encoder) -> None:
+        self.enc = enc
+        self.facts = np.zeros((1024, 4), np.int64)
+        self.chars = 0
+
+    def __missing__(self, piece: str) -> int:
+        if len(self) == len(self.facts):
+            self.facts = np.concatenate([self.facts, np.zeros_like(self.facts)])
+        p, q = piece[-1], piece[0]
+        first = self.BLANK_LETTER if q == " " and not piece[1:2].isspace() and len(piece) > 1 else self.BLANK if q.isspace() else self.OTHER
+        last = self.SPACE if p.isspace() else self.WIDE if ord(p) > 0x2FFF else self.ALNUM if p.isalnum() else self.STOP if p in STOPS else self.CLOSER if p in CLOSERS else self.SIGN
+        k = self[piece] = len(self)
+        self.chars += len(piece)
+        self.facts[k] = len(self.enc.cache[piece]), len(piece), first, last
+        return k
+
+
+_PIECES: dict[int, _Pieces] = {}
+_MAX_PIECES, _MAX_CHARS = 1 << 18, 1 << 24
+
+
+def _numbered(enc: Encoder, pieces: list[str]) -> np.ndarray:
+    """(tokens, length, first, last) of each piece; the table of distinct pieces is dropped when it grows beyond a bound."""
+    table = _PIECES.get(id(enc))
+    if table is None or len(table) > _MAX_PIECES or table.chars > _MAX_CHARS:
+        table = _PIECES[id(enc)] = _Pieces(enc)
+    at = np.fromiter(map(table.__getitem__, pieces), np.int64, len(pieces))
+    return table.facts[at]
+
+
+def _units(pieces: list[str], facts: np.ndarray, enc: Encoder, unit: int) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """(starts, sizes, index of the piece that starts there or -1 inside one) of the smallest uncut stretches."""
+    begin = np.cumsum(facts[:, 1]) - facts[:, 1]
+    large = (facts[:, 0] > unit) & (facts[:, 1] > 1)
+    if not large.any():
+        return begin.tolist(), facts[:, 0], np.arange(len(pieces))
+    starts, sizes, owner = [], [], []
+    for i, piece in enumerate(pieces):
+        n, step = int(facts[i, 0]), len(piece)
+        if large[i]:
             step = max(1, len(piece) * unit // (2 * n))
-            for k in range(0, len(piece), step):
-                starts.append(at + k)
-                sizes.append(len(enc.encode(piece[k : k + step])))
-                inside.append(k > 0)
-        at += len(piece)
-    return starts, sizes, inside, cut
+        for k in range(0, len(piece), step):
+            starts.append(int(begin[i]) + k)
+            sizes.append(len(enc.encode(piece[k : k + step])) if large[i] else n)
+            owner.append(-1 if k else i)
+    return starts, np.array(sizes), np.array(owner)
 
 
 def _kind(text: str, c: int) -> int:
@@ -77,22 +112,17 @@ def _kind(text: str, c: int) -> int:
     return SENTENCE if stop and ord(text[c - 1]) > 0x2FFF else EDGE
 
 
-def _kinds(text: str, starts: list[int], inside: list[bool]) -> list[int]:
-    """The kinds of all inner boundaries; the common ones need no look around."""
-    out = []
-    for i in range(1, len(starts)):
-        c = starts[i]
-        if inside[i]:
-            out.append(INSIDE)
-            continue
-        p, q = text[c - 1], text[c]
-        if q == " " and p.isalnum() and not text[c + 1 : c + 2].isspace():
-            out.append(WORD)
-        elif not (p.isspace() or q.isspace() or ord(p) > 0x2FFF):
-            out.append(EDGE)
-        else:
-            out.append(_kind(text, c))
-    return out
+def _kinds(text: str, starts: list[int], owner: np.ndarray, facts: np.ndarray) -> list[int]:
+    """The kinds of all inner boundaries; the common ones are told by the pieces' ends, the others by a look around."""
+    own = owner[1:]
+    first, last = facts[np.maximum(own, 0), 2], facts[np.maximum(own - 1, 0), 3]
+    spaced = first == _Pieces.BLANK_LETTER
+    word, sentence = spaced & ((last == _Pieces.ALNUM) | (last == _Pieces.SIGN)), spaced & (last == _Pieces.STOP)
+    edge = (first == _Pieces.OTHER) & (last != _Pieces.SPACE) & (last != _Pieces.WIDE)
+    out = np.select([own < 0, word, sentence, edge], [INSIDE, WORD, SENTENCE, EDGE], -1)
+    for k in np.flatnonzero(out < 0).tolist():
+        out[k] = _kind(text, starts[k + 1])
+    return out.tolist()
 
 
 def _size(text: str, at: list[int], total: np.ndarray, s: int, e: int, enc: Encoder) -> int:
@@ -110,13 +140,16 @@ def split_text(text: str, enc: Encoder, limit: int = 512, overlap: int = 64) ->
     """(start, end, tokens) of the parts, in code points."""
     if not text:
         return []
-    starts, sizes, inside, uncertain = _units(text, enc, max(1, limit // 8))
+    pieces = enc.pieces(text)
+    facts = _numbered(enc, pieces)
+    unit = max(1, limit // 8)
+    uncertain = bool(((facts[:, 0] > unit) & (facts[:, 1] > 1)).any())
+    whole = int(facts[:, 0].sum())
+    if whole <= limit:
+        return [(0, len(text), whole)]
+    starts, sizes, owner = _units(pieces, facts, enc, unit)
     total = np.concatenate([[0], np.cumsum(sizes)])
-    if not uncertain and total[-1] <= limit:
-        return [(0, len(text), int(total[-1]))]
-    if uncertain and (n := len(enc.encode(text))) <= limit:
-        return [(0, len(text), n)]
-    kinds = [PARAGRAPH, *_kinds(text, starts, inside), PARAGRAPH]
+    kinds = [PARAGRAPH, *_kinds(text, starts, owner, facts), PARAGRAPH]
     at = [*starts, len(text)]
     bound = limit
     while True:
@@ -135,35 +168,49 @@ def _plan(total: np.ndarray, kinds: list[int], limit: int, overlap: int) -> list
     n, gap = len(kinds) - 1, max(1, limit // 4)
     sums = total.tolist()
     ends = [0]
-    strong = [i for i in range(1, n + 1) if kinds[i] <= SENTENCE or i == n]
-    for i in strong:  # weaker boundaries where strong ones are far apart, and the weakest where those are
+    kinds_t = np.asarray(kinds)
+    strong = np.flatnonzero(kinds_t <= SENTENCE)
+    for i in strong[strong > 0].tolist():  # weaker boundaries where strong ones are far apart, and the weakest where those are
+        last = ends[-1]
         for level in (WORD, EDGE, INSIDE):
-            if sums[i] - sums[ends[-1]] <= gap:
+            if sums[i] - sums[last] <= gap:
                 break
-            between, last = [j for j in range(ends[-1] + 1, i) if kinds[j] <= level], ends[-1]
-            if between and (level == INSIDE or max(sums[b] - sums[a] for a, b in zip([last, *between], [*between, i])) <= gap):
-                ends += between
+            between = np.flatnonzero(kinds_t[last + 1 : i] <= level) + last + 1
+            if len(between) and (level == INSIDE or np.diff(total[np.concatenate([[last], between, [i]])]).max() <= gap):
+                ends += between.tolist()
                 break
         ends.append(i)
-    ends_t = np.array([sums[e] for e in ends], float)
+    at_end = [sums[e] for e in ends]
     back = _overlap_starts(sums, kinds, ends, overlap)  # back[k]: where the part after end k starts
-    back_t = np.array([sums[b] for b in back], float)
+    at_back = [sums[b] for b in back]
+    back_t = np.array(at_back, float)
     need = max(2, -(-(sums[n] - overlap) // (limit - overlap)))
     fair = (sums[n] + overlap * (need - 1)) / need
-    cost, best = np.full(len(ends), np.inf), np.zeros(len(ends), int)
+    cost, best, low = np.full(len(ends), np.inf), [0] * len(ends), 0
+    costs, scale, wanted = [0.0], BALANCE / limit**2, [b + fair for b in at_back]
     cost[0] = 0.0
     for k in range(1, len(ends)):
-        low = int(np.searchsorted(back_t[:k], ends_t[k] - limit, "left"))
-        if low >= k:
-            low = k - 1  # a single stretch above the limit: the caller sees it and lowers the bound
-        sizes = ends_t[k] - back_t[low:k]
-        c = cost[low:k] + BALANCE * ((sizes - fair) / limit) ** 2
-        j = int(np.argmin(c))
-        cost[k], best[k] = c[j] + (PENALTY[kinds[ends[k]]] if k < len(ends) - 1 else 0.0), low + j
+        end = at_end[k]
+        while low < k - 1 and at_back[low] < end - limit:  # a single stretch above the limit stays: the caller sees it
+            low += 1
+        if k - low > 64:
+            c = cost[low:k] + scale * (end - back_t[low:k] - fair) ** 2
+            j = low + int(np.argmin(c))
+            least = float(c[j - low])
+        else:
+            least = float("inf")
+            for q in range(low, k):
+                d = end - wanted[q]
+                c = costs[q] + scale * d * d
+                if c < least:
+                    least, j = c, q
+        least += PENALTY[kinds[ends[k]]] if k < len(ends) - 1 else 0.0
+        costs.append(least)
+        cost[k], best[k] = least, j
     out, k = [], len(ends) - 1
     while k > 0:
         out.append((back[best[k]], ends[k]))
-        k = int(best[k])
+        k = best[k]
     return out[::-1]
 
 
