@@ -47,7 +47,7 @@ def broken(rules: dict[str, Column]) -> Column:
 
 def exact_dedup(df: DataFrame, text: str, order: list[str]) -> DataFrame:
     """Q1: the first record of each key, by a pre-aggregated minimum of the order columns only, joined back to the rows."""
-    keyed = df.withColumn("_key", exact_key(F.col(text)))
+    keyed = df.withColumn("_key", F.unhex(F.sha2(exact_key(F.col(text)), 256)))  # 32 bytes travel, not the text
     first = keyed.groupBy("_key").agg(F.min(F.struct(*order)).alias("_o"))
     return keyed.join(first, (keyed["_key"].eqNullSafe(first["_key"])) & (F.struct(*order) == F.col("_o")), "left_semi").drop("_key")
 
