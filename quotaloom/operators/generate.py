@@ -89,14 +89,18 @@ def draw_axes(rows: DataFrame, style: Style) -> DataFrame:
     depth = _axis(style, style.depth, "depth")
     rows = rows.withColumn("depth", F.when((depth == "poi_district") & ~has_district, "full_address").otherwise(depth))
     names_province = (F.col("subcategory") == "province") | (F.col("depth") == "full_address")
-    rows = rows.withColumn("drawn_variant", F.when(names_province, _axis(style, style.variant, "variant")).otherwise("current"))
-    rows = rows.withColumn("drawn_marker", (F.col("drawn_variant") == "legacy") & (_u(style, "marker") < style.marker))
     number = _axis(style, style.number, "number")
-    rows = rows.withColumn("number_style", F.when(has_number, F.when(number == "none", "cardinal").otherwise(number)).otherwise("none"))
-    rows = rows.withColumn("number_word", (F.col("number_style") != "none") & N.number_leads(F.col("name"), F.col("category")) & (_u(style, "number_word") < style.number_word))
     prefixed = F.col("category").isin("admin_unit", "street", "address")
-    rows = rows.withColumn("admin_prefix", prefixed & (_axis(style, style.prefix, "prefix") == "present"))
-    return rows.withColumn("tail_prefix", (F.col("depth") != "poi_only") & (_axis(style, style.prefix, "tail_prefix", use_category=False) == "present"))
+    rows = rows.withColumns({
+        "drawn_variant": F.when(names_province, _axis(style, style.variant, "variant")).otherwise("current"),
+        "number_style": F.when(has_number, F.when(number == "none", "cardinal").otherwise(number)).otherwise("none"),
+        "admin_prefix": prefixed & (_axis(style, style.prefix, "prefix") == "present"),
+        "tail_prefix": (F.col("depth") != "poi_only") & (_axis(style, style.prefix, "tail_prefix", use_category=False) == "present"),
+    })
+    return rows.withColumns({
+        "drawn_marker": (F.col("drawn_variant") == "legacy") & (_u(style, "marker") < style.marker),
+        "number_word": (F.col("number_style") != "none") & N.number_leads(F.col("name"), F.col("category")) & (_u(style, "number_word") < style.number_word),
+    })
 
 
 def alias_candidates(aliases: DataFrame, provinces: DataFrame) -> DataFrame:
@@ -119,11 +123,14 @@ def resolve_names(rows: DataFrame, candidates: DataFrame, style: Style) -> DataF
     options = F.when((F.col("drawn_variant") == "legacy") & legacy_ok, F.coalesce("legacy", none)).when(F.col("drawn_variant") == "spoken_alias", F.coalesce("spoken", none)).otherwise(none)
     rows = rows.withColumn("_alias", pick(options, _u(style, "alias")))
     found = F.col("_alias").isNotNull()
-    rows = rows.withColumn("name_variant", F.when(found, F.col("drawn_variant")).otherwise("current"))
-    rows = rows.withColumn("marker", F.col("drawn_marker") & (F.col("name_variant") == "legacy"))
-    rows = rows.withColumn("province_name", F.when(found, F.col("_alias.alias")).otherwise(F.col("name_current")))
     own = F.when(F.col("is_municipality"), "thành phố").otherwise("tỉnh")
-    return rows.withColumn("province_prefix", F.when(found, F.col("_alias.prefix")).otherwise(own)).drop("_alias", "legacy", "spoken", "unambiguous", "is_municipality")
+    rows = rows.withColumns({
+        "name_variant": F.when(found, F.col("drawn_variant")).otherwise("current"),
+        "marker": F.col("drawn_marker") & found & (F.col("drawn_variant") == "legacy"),
+        "province_name": F.when(found, F.col("_alias.alias")).otherwise(F.col("name_current")),
+        "province_prefix": F.when(found, F.col("_alias.prefix")).otherwise(own),
+    })
+    return rows.drop("_alias", "legacy", "spoken", "unambiguous", "is_municipality")
 
 
 def _joined(*parts: Column) -> Column:
@@ -142,12 +149,14 @@ def compose(rows: DataFrame, style: Style) -> DataFrame:
     """The entity's phrase and its address tail."""
     read = F.col("_read")
     rows = rows.withColumn("_read", F.when(F.col("number_style") == "none", F.lit(D.CARDINAL)).otherwise(F.col("number_style")))
+    said = {}
     for field in ("name", "district"):  # names without digits or abbreviations keep clear of the reading
         c = F.col(field)
-        rows = rows.withColumn(f"_{field}", F.when(c.rlike("[0-9]"), D.verbalize_name(c, read)).otherwise(D.expand_abbreviations(c)))
+        said[f"_{field}"] = F.when(c.rlike("[0-9]"), D.verbalize_name(c, read)).otherwise(D.expand_abbreviations(c))
+    rows = rows.withColumns(said | {"_house": F.when(F.col("category") == "address", D.read_house_number(house_number(style), read))})
     spoken = F.col("_name")
     word, rest = N.street_prefix(spoken)
-    rows = rows.withColumn("_word", word).withColumn("_rest", rest).withColumn("_house", F.when(F.col("category") == "address", D.read_house_number(house_number(style), read)))
+    rows = rows.withColumns({"_word": word, "_rest": rest})
     word, rest = F.col("_word"), F.col("_rest")
     marked = F.when(F.col("marker"), "cũ").otherwise("")
     province = _joined(F.when(F.col("admin_prefix"), F.col("province_prefix")).otherwise(""), F.col("province_name"), marked)
@@ -163,7 +172,7 @@ def compose(rows: DataFrame, style: Style) -> DataFrame:
     )
     tail = F.when((F.col("depth") == "poi_district") & (F.col("subcategory") != "district"), _joined(F.lit("ở"), F.col("_district")))
     tail = tail.when((F.col("depth") == "full_address") & (F.col("subcategory") != "province"), _joined(F.lit("ở"), F.when(F.col("tail_prefix"), F.col("province_prefix")).otherwise(""), F.col("province_name"), marked))
-    return rows.withColumn("_core", core).withColumn("_tail", F.coalesce(tail, F.lit(""))).withColumn("phrase", _joined(F.col("_core"), F.col("_tail")))
+    return rows.withColumns({"_core": core, "_tail": F.coalesce(tail, F.lit(""))}).withColumn("phrase", _joined(F.col("_core"), F.col("_tail")))
 
 
 def _slot(style: Style, table: dict, axis: str, keep=lambda o: F.lit(True), text=lambda o: o) -> Column:
@@ -182,7 +191,7 @@ def fill_slots(rows: DataFrame, style: Style) -> DataFrame:
     opener = _slot(style, style.openers, "opener", lambda o: F.lit(not o[1]) | ((F.col("head") == "statement") & ~F.col("asks")), lambda o: F.lit(o[0]))
     closer = _slot(style, style.closers, "closer", lambda c: (F.col("tail") == "plain") & (~F.lit("giúp" in c) | ~F.col("helps")), F.lit)
     filler = _slot(style, style.fillers, "filler", lambda f: F.col("head") == "statement", F.lit)
-    rows = rows.withColumn("_o", opener).withColumn("_f", filler)
+    rows = rows.withColumns({"_o": opener, "_f": filler})
     doubled = (F.col("_o") == F.col("_f")) | F.col("_o").startswith(F.concat(F.col("_f"), F.lit(" ")))
     opener = F.when((F.col("_f") == "") | doubled, F.col("_o")).otherwise(_joined(F.col("_f"), F.col("_o")))
     noun = pick(F.array(*[F.lit(n) for n in style.nouns]), _u(style, "noun"))
