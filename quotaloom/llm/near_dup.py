@@ -232,7 +232,7 @@ def near_duplicates(df: DataFrame, *, id_col: str, text_col: str, part_col: str,
             break
         heavy.append(bitmap)
     shared = spark.sparkContext.broadcast((counts, heavy))
-    leaf = _members(classes, width, threshold, shared, None).repartition("region")
+    leaf = _members(classes, width, threshold, shared, None)
     a, b = (leaf.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "sketch")]) for s in "ab")
     p, q = threshold
     both = F.col("n_a") + F.col("n_b")
