@@ -220,7 +220,7 @@ def near_duplicates(df: DataFrame, *, id_col: str, text_col: str, part_col: str,
     rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(part_col).cast("string").alias("_p"), F.array_join(words(F.col(text_col)), " ").alias("text"))
     long_enough = (F.col("text") != "") & (F.size(F.split("text", " ")) >= width)
     rows = rows.filter(F.col("id").isNotNull() & F.col("_p").isNotNull() & long_enough)
-    classed = _classes(rows.select("id", F.xxhash64("_p").alias("part"), "text"), width)
+    classed = cut(_classes(rows.select("id", F.xxhash64("_p").alias("part"), "text"), width), "classed")
     members = cut(classed.groupBy("id").agg(F.min("cls").alias("cls")), "members")
     classes = cut(classed.groupBy("cls", "part").agg(F.min("text").alias("text")), "classes")
     counts, heavy = _frequencies(classes, width), []
