@@ -10,6 +10,7 @@ from quotaloom.functions import numbers as D
 from quotaloom.functions import templates as T
 from quotaloom.plans.master import entities, provinces, samples, wards, with_views
 from quotaloom.plans.registry import query, table
+from quotaloom.workspace import spread_small
 
 # The bank of the queries' templates: (id, sentence type, register, length class, slots, text), good and broken ones.
 TEMPLATES = [
@@ -176,7 +177,7 @@ SELECT l_orderkey, l_linenumber, x.lead || CASE c WHEN 0 THEN ' bê' ELSE '' END
 FROM h JOIN grp x ON x.n = a JOIN grp y ON y.n = b""")
 def house_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F5, R6."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_small(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey"))
     c = F.col("l_suppkey") % 5
     s = F.concat((F.col("l_orderkey") % 300 + 1).cast("string"), F.when(c == 0, "B").otherwise(""), F.when(c > 2, F.concat(F.lit("/"), (F.col("l_partkey") % 99 + 1).cast("string"))).otherwise(""))
     return li.select("l_orderkey", "l_linenumber", D.read_house_number(s, F.lit(D.CARDINAL)).alias("words"))

@@ -64,3 +64,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     The check is an action over ``df``, so pass tables that are cheap to read.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores, for steps that are heavy on the CPU.
+
+    Only an input of fewer splits than cores is shuffled; a large table has more splits and stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
