@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotaloom.workspace import spread_small
+
 #: Fixed value: the public vocabulary's pattern of pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 
@@ -145,7 +147,7 @@ def _first_of_repeats(df: DataFrame, id_col: str, columns: list[str]) -> DataFra
 def encode_corpus(df: DataFrame, *, id_col: str, text_col: str, rank_path: str, rows_per_batch: int = 500) -> DataFrame:
     """(id_col, ids) of each id once. Of rows that share an id with different texts, the smallest text counts, null first."""
     file = broadcast_ranks(df.sparkSession, rank_path)
-    docs = _first_of_repeats(df, id_col, [id_col, text_col])
+    docs = spread_small(_first_of_repeats(df, id_col, [id_col, text_col]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = worker_encoder(file.value)

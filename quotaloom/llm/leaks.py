@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quotaloom.functions.words import words
+from quotaloom.workspace import spread_small
 
 ANCHORS = 3
 MAX_ITEM_WORDS = 20_000_000
@@ -100,6 +101,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
         raise ValueError("too many evaluation words for one search; search in blocks of items")
     terms = sorted({x for _, w in rows for x in w})
     number = {t: i for i, t in enumerate(terms)}
+    docs = spread_small(docs.select(doc_id, text))
     coded = [(i, [number[x] for x in w]) for i, w in rows]
     counts = corpus_counts(docs, text, terms)
     anchors = [(k, q, w[q]) for k, (_, w) in enumerate(coded) for q in anchor_positions(w, counts, run)]

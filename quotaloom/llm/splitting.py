@@ -29,6 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from quotaloom.llm.bpe import Encoder, broadcast_ranks, worker_encoder
+from quotaloom.workspace import spread_small
 
 PARAGRAPH, LINE, SENTENCE, WORD, EDGE, INSIDE = range(6)
 PENALTY = (0.0, 1.0, 2.0, 6.0, 30.0, 200.0)
@@ -256,4 +257,4 @@ def split_corpus(df: DataFrame, *, id_col: str, text_col: str, rank_path: str, l
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner, pa.int64())), *arrays], names=names)
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, piece_no int, n_tokens int, start int, `end` int, text string")
+    return spread_small(df.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, piece_no int, n_tokens int, start int, `end` int, text string")
