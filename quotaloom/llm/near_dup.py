@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotaloom.functions.words import words
+from quotaloom.operators.quality import keep_per_group
 from quotaloom.workspace import cut, drop, new_path
 
 BUCKETS = 1 << 18
@@ -282,6 +283,20 @@ def components(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return members.join(named, "cls").select("id", "class_id", "links")
 
 
+def keep_per_cluster(df: DataFrame, *, id_col: str, text_col: str, width: int, threshold: tuple[int, int], n: int) -> DataFrame:
+    """(id): at most ``n`` records, those of the smallest ids, of each cluster of near-duplicates (survey Q2, W8).
+
+    Clusters are found over all records as one partition. Texts of fewer than ``width`` words have no shingle: equal ones are a
+    cluster; a record without any word is alone. Null ids are left out.
+    """
+    rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.lit("").alias("part"))
+    found = components(*near_duplicates(rows, id_col="id", text_col="text", part_col="part", width=width, threshold=threshold)).select("id", "class_id")
+    once = rows.filter("id is not null").groupBy("id").agg(F.min(F.array_join(words(F.col("text")), " ")).alias("w"))
+    own = F.when(F.col("class_id").isNotNull(), F.struct(F.lit(0).alias("kind"), F.col("class_id").alias("name")))
+    own = F.coalesce(own, F.when(F.col("w") != "", F.struct(F.lit(1).alias("kind"), F.col("w").alias("name"))), F.struct(F.lit(2).alias("kind"), F.col("id").alias("name")))
+    return keep_per_group(once.join(found, "id", "left").select("id", own.alias("cluster")), ["cluster"], ["id"], n).select("id")
+
+
 def roots(edges: DataFrame) -> DataFrame:
     """(cls, root) of every node of the undirected edges (u, v), given in both directions: root is its component's smallest node."""
     spark = edges.sparkSession

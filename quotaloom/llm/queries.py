@@ -233,6 +233,12 @@ def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.components(*_near(spark, sf_dir))
 
 
+@_query("p1_keep_n")
+def p1_keep_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """At most three records of each cluster of near-duplicates, over all records whatever their template."""
+    return near_dup.keep_per_cluster(_table(spark, sf_dir, "generate_small"), id_col="id", text_col="text", width=2, threshold=(7, 10), n=3)
+
+
 @_query("p1_documents")
 def p1_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents: five words, similarity 0.8, over all documents as one partition."""

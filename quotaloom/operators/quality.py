@@ -1,4 +1,4 @@
-"""Quality control of text records (survey V15, V16, Q1-Q4, Q8, W8, A27).
+"""Quality control of text records (survey V15, V16, Q1, Q3, Q4, Q8, W8, A27).
 
 Rules are named columns; all are evaluated in one pass and a record carries every rule it breaks.
 """

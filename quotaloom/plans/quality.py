@@ -1,4 +1,4 @@
-"""Queries of quality control, reports, spatial joins and event windows (survey Q1-Q4, Q8, A13-A15, A25, A27, J7-J9, K4, K7)."""
+"""Queries of quality control, reports, spatial joins and event windows (survey Q1, Q3, Q4, Q8, A13-A15, A25, A27, J7-J9, K4, K7)."""
 
 from __future__ import annotations
 
@@ -69,7 +69,7 @@ def pair_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cluster_keep_n", with_views("samp") + "SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY template_id ORDER BY id) AS rn FROM samp) WHERE rn <= 3")
 def cluster_keep_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W8."""
+    """At most three records of each template; the cut by near-duplicate clusters (Q2, W8) is ``p1_keep_n`` of the training-data queries."""
     return Y.keep_per_group(samples(spark, sf_dir).select("id", "template_id"), ["template_id"], ["id"], 3).select("id")
 
 

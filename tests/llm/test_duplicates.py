@@ -104,6 +104,32 @@ def test_components(spark):
     assert got["c00"][1] == 3 and got["c15"][1] == 6  # 19 shingles each; neighbours up to three steps away share 16 of 22
 
 
+def test_keep_per_cluster_by_brute_force(spark):
+    rows = near_rows(3) + [("s1", "One", "t1"), ("s2", "one!", None), ("s3", "ONE", "t2"), ("s4", "one", "t1"), ("e1", None, "t1"), ("e2", "", "t1"), ("e3", "..", "t1"), ("e4", None, "t1")]
+    df = spark.createDataFrame(rows, "id string, text string, tpl string")
+    got = [r.id for r in near_dup.keep_per_cluster(df, id_col="id", text_col="text", width=2, threshold=(7, 10), n=3).collect()]
+    text = {i: x or "" for i, x, _ in rows if i}
+    root = {i: i for i in text}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sorted(text):
+        for b in sorted(text):
+            s, v, short = shingles(text[a], 2), shingles(text[b], 2), len(words_of(text[a])) == 1 and words_of(text[a]) == words_of(text[b])
+            if a < b and (short or s and v and 10 * len(s & v) >= 7 * len(s | v)):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    clusters = defaultdict(list)
+    for i in sorted(text):
+        clusters[find(i)].append(i)
+    assert sorted(got) == sorted(i for c in clusters.values() for i in c[:3]) and {"e1", "e2", "e3", "e4", "s1", "s2", "s3"} <= set(got)
+    assert len({t for _, _, t in rows if t}) > 1 and len(got) < len(text)
+    assert near_dup.keep_per_cluster(df.limit(0), id_col="id", text_col="text", width=2, threshold=(7, 10), n=3).count() == 0
+
+
 def canonical(text):
     return tuple(sorted(f for f in (" ".join(words_of(x)) for x in re.split("[,;|]", text)) if f))
 
