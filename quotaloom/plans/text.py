@@ -94,9 +94,19 @@ SELECT entity_id, CASE WHEN s = '' THEN 'unnamed' ELSE s END AS slug, 'manual_'
 (SELECT entity_id, province, regexp_replace(regexp_replace(replace(strip_accents(lower(nfc_normalize(entity))), 'đ', 'd'), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS s FROM ent
  WHERE NOT regexp_matches(nfc_normalize(entity), '[^\x{0}-\x{7F}ÀÁÂÃÈÉÊÌÍÒÓÔÕÙÚÝàáâãèéêìíòóôõùúýĂăĐđĨĩŨũƠơƯư\x{1EA0}-\x{1EF9}]'))""")
 def slug_and_ref_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F9, F10, over names in plain Vietnamese letters."""
-    e = entities(spark, sf_dir).withColumn("n", N.nfc(F.col("entity"))).filter(~F.col("n").rlike("[^\\x00-\\x7FÀÁÂÃÈÉÊÌÍÒÓÔÕÙÚÝàáâãèéêìíòóôõùúýĂăĐđĨĩŨũƠơƯưẠ-ỹ]"))
-    s = N.slug(F.col("n"))
+    """F9, F10, over names in plain Vietnamese letters, which SQL can follow; ``slug_and_ref_ids_all`` has all names."""
+    e = entities(spark, sf_dir)
+    return _slugs(e.filter(~N.nfc(F.col("entity")).rlike("[^\\x00-\\x7FÀÁÂÃÈÉÊÌÍÒÓÔÕÙÚÝàáâãèéêìíòóôõùúýĂăĐđĨĩŨũƠơƯưẠ-ỹ]")))
+
+
+@query("slug_and_ref_ids_all")
+def slug_and_ref_ids_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9, F10, over all names: look-alike, full-width, invisible and other-script characters too."""
+    return _slugs(entities(spark, sf_dir))
+
+
+def _slugs(e: DataFrame) -> DataFrame:
+    s = F.coalesce(N.slug(N.nfc(F.col("entity"))), F.lit("unnamed"))
     return e.select("entity_id", s.alias("slug"), F.concat_ws("_", F.lit("manual"), F.coalesce("province", F.lit("")), s).alias("ref"))
 
 
@@ -116,8 +126,17 @@ SELECT id, CASE lower(split_part(street, ' ', 1)) WHEN 'đường' THEN 'Đườ
  coalesce(category, '') = 'address' OR regexp_matches(CASE WHEN lower(split_part(street, ' ', 1)) IN ('đường', 'phố', 'ngõ', 'hẻm', 'ngách', 'kiệt') THEN substr(street, strpos(street, ' ') + 1) ELSE street END, '^[0-9]') AS leads
 FROM samp WHERE street IS NOT NULL AND regexp_matches(street, '^[^\x{0300}-\x{036F}]*$'))""")
 def prefix_split_and_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F19-F22."""
-    s = samples(spark, sf_dir).filter("street is not null").filter(~F.col("street").rlike("[̀-ͯ]"))
+    """F19-F22, over streets without combining marks; ``prefix_split_and_case_all`` has all streets."""
+    return _prefixes(samples(spark, sf_dir).filter("street is not null").filter(~F.col("street").rlike("[̀-ͯ]")))
+
+
+@query("prefix_split_and_case_all")
+def prefix_split_and_case_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F19-F22, over all streets in composed form."""
+    return _prefixes(samples(spark, sf_dir).filter("street is not null").withColumn("street", N.nfc(F.col("street"))))
+
+
+def _prefixes(s: DataFrame) -> DataFrame:
     head, rest = N.street_prefix(F.col("street"))
     return s.select(
         "id", F.coalesce(head, F.lit("")).alias("prefix"), rest.alias("rest"), N.embeds_type(F.col("street"), F.coalesce("subcategory", F.lit(""))).alias("embeds"),

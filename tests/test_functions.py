@@ -1,9 +1,13 @@
 """Scalar functions on fixed cases."""
 
+import re
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
 from quotaloom.functions import draws, names, numbers, templates
+from quotaloom.plans import text
 
 
 def values(spark, cases, f, kind="string"):
@@ -63,6 +67,48 @@ def test_keys(spark):
     assert values(spark, [("đường 21",), ("Hẻm Ba",), ("Chợ",)], lambda c: F.concat_ws("|", *names.street_prefix(c))) == ["Đường|21", "Hẻm|Ba", "Chợ"]
 
 
+ODD_NAMES = [
+    "Кến", "ｎｇõ Ｍảｎ", "phố​ A", "東京", "Müller Straße", "Мост", "số １２", "A東 B", "Cho\u031b\u0323 \u0110o\u0302ng", "½ km", "İzmir", "\u00ad", "", "Đà Nẵng",
+    "Ngo\u0303 12", "ĐƯỜNG １２ Hẻm Phố", "Đường", "đường\n", "Hẻm 5\nTổ Đường", "Pho\u0302\u0301 Kie\u0323\u0302t", "Кiệt 3", "７ Phố", "Đường  9", "Ｎｇõ 3", "Kıệt Hện Phố", "Ngõ", "đường 21",
+]
+
+
+def odd_names_table(tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    t = pq.read_table("/root/testdata/sf0.001/generate_small.parquet").slice(0, len(ODD_NAMES))
+    new = {"id": [f"r{k:02d}" for k in range(len(ODD_NAMES))], "entity_id": [f"e{k:02d}" for k in range(len(ODD_NAMES))], "entity": ODD_NAMES, "street": ODD_NAMES, "category": ["address", None, "street"] * 9, "subcategory": ["ngõ hẹp", None, "đường lớn"] * 9}
+    for c, v in new.items():
+        t = t.set_column(t.schema.get_field_index(c), c, pa.array(v, t.schema.field(c).type))
+    pq.write_table(t, tmp_path / "generate_small.parquet")
+    return str(tmp_path)
+
+
+def test_slugs_of_all_names(spark, tmp_path):
+    got = {r.entity_id: (r.slug, r.ref) for r in text.slug_and_ref_ids_all(spark, odd_names_table(tmp_path)).collect()}
+    province = {r.entity_id: r.province or "" for r in spark.read.parquet(f"{tmp_path}/generate_small.parquet").collect()}
+    for k, name in enumerate(ODD_NAMES):
+        plain = unicodedata.normalize("NFKD", name.translate(str.maketrans("đĐ", "dD"))).encode("ascii", "ignore").decode().lower()
+        slug = re.sub("[^a-z0-9]+", "_", plain).strip("_") or "unnamed"
+        assert got.pop(e := f"e{k:02d}") == (slug, f"manual_{province[e]}_{slug}"), name
+    assert not got
+
+
+def test_prefixes_of_all_streets(spark, tmp_path):
+    got = {r.id: tuple(r) for r in text.prefix_split_and_case_all(spark, odd_names_table(tmp_path)).collect()}
+    known = {w.casefold(): w for w in names.STREET_WORDS}
+    for k, name in enumerate(ODD_NAMES):
+        name, category, kind = unicodedata.normalize("NFC", name), ["address", None, "street"][k % 3], ["ngõ hẹp", None, "đường lớn"][k % 3] or ""
+        head, _, rest = name.partition(" ")
+        prefix = known.get(head.casefold(), "")
+        rest = rest if prefix else name
+        lowered = " ".join(w.lower() if w in known.values() else w for w in name.split(" "))
+        want = (prefix, rest, head.casefold() == kind.split(" ")[0].casefold(), lowered, category == "address" or rest[:1].isdigit())
+        assert got.pop(i := f"r{k:02d}") == (i, *want), name
+    assert not got
+
+
 def test_substitute_squeezes(spark):
     got = values(spark, [("{opener}tới {entity}{closer}", "", "X", "nhé"), ("{opener}tới {entity}{closer}", "này", "X", "")], lambda t, o, e, c: templates.substitute(t, opener=o, entity=e, closer=c))
     assert got == ["tới X nhé", "này tới X"]
