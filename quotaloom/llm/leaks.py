@@ -10,6 +10,10 @@ less an item position is a diagonal, and a window can only match on a diagonal o
 Those diagonals are then compared word by word, which gives the exact longest run. Every match of ``run`` words has all its
 anchors on its diagonal, so none is lost.
 
+Proximity has anchors of its own. A diagonal with enough equal words misses at most m of an item's words, those that occur
+nowhere in the corpus always; so of the m + ``HITS`` rarest positions that do occur, ``HITS`` are on it. None of these is lost either.
+Aligned are words on one diagonal: an inserted or left out word ends it, and the parts before and after it count each by itself.
+
 Cases: null and empty texts match nothing; items of fewer than ``run`` words match no phrase; repeated documents and items
 with shared passages come out each. Words are those of ``quotaloom.functions.words``. The evaluation items must fit the driver
 (checked against ``MAX_ITEM_WORDS``); beyond it, search in blocks of items and unite the results.
@@ -17,6 +21,7 @@ with shared passages come out each. Words are those of ``quotaloom.functions.wor
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +34,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from quotaloom.functions.words import words
 from quotaloom.workspace import spread_small
 
-ANCHORS = 3
+ANCHORS, HITS = 3, 2
+MAX_POSTINGS = 4_000_000
 MAX_ITEM_WORDS = 20_000_000
 
 
@@ -89,11 +95,56 @@ def anchor_positions(item: list[int], counts: np.ndarray, run: int) -> list[int]
     return sorted(out)
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", run: int = 12, near: float = 0.8) -> DataFrame:
+def proximity_positions(item: list[int], counts: np.ndarray, run: int, near: float) -> tuple[list[int], int]:
+    """(positions, least hits): every diagonal with enough equal words has so many of the positions on it."""
+    there = sorted((q for q in range(len(item)) if counts[item[q]]), key=lambda q: (int(counts[item[q]]), item[q], q))
+    misses = len(there) - max(run, math.ceil(near * len(item)))
+    if misses < 0:
+        return [], 1
+    hits = min(HITS, len(there) - misses)
+    return sorted(there[: misses + hits]), hits
+
+
+class _Anchors:
+    """Anchors (item, position, term) by term, and how many of an item's must be on a diagonal."""
+
+    def __init__(self, anchors: list[tuple[int, int, int]], hits: list[int], terms: int) -> None:
+        anchors = sorted(anchors, key=lambda a: a[2])
+        self.item, self.pos, term = (np.array([a[j] for a in anchors], np.int64) for j in range(3))
+        self.first, self.last = (np.searchsorted(term, np.arange(terms), side) for side in ("left", "right"))
+        self.hits = np.array(hits, np.int64)
+
+    def weights(self, flat: np.ndarray) -> np.ndarray:
+        """Postings of each word."""
+        return np.where(flat >= 0, (self.last - self.first)[flat], 0)
+
+    def keys(self, flat: np.ndarray, longest: int) -> np.ndarray:
+        """item * (words + 2 * longest) + diagonal + longest of the diagonals with enough anchors."""
+        n = self.weights(flat)
+        pos = np.flatnonzero(n)
+        n = n[pos]
+        which = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[flat[pos]], n)
+        width = len(flat) + 2 * longest
+        uniq, hits = np.unique(self.item[which] * width + np.repeat(pos, n) - self.pos[which] + longest, return_counts=True)
+        return uniq[hits >= self.hits[uniq // width]]  # one posting for each anchor position: the intersection's size
+
+
+def _portions(weights: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first, last + 1) of documents with at most ``MAX_POSTINGS`` postings together, or one document."""
+    total = np.concatenate([[0], np.cumsum(weights)])[[*starts.tolist(), len(weights)]]
+    k = 0
+    while k < len(starts):
+        to = max(k + 1, int(np.searchsorted(total, total[k] + MAX_POSTINGS, "right")) - 1)
+        yield k, to
+        k = to
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", run: int = 12, near: float | None = 0.8) -> DataFrame:
     """(doc_id, item_id, run, aligned, doc_pos, item_pos), one row per document, item and diagonal.
 
     ``run`` is the longest stretch of equal words and ``aligned`` the number of equal words on the diagonal. Rows have
-    either run >= ``run`` (an exact phrase) or at least ``run`` aligned words that make up ``near`` of the item (proximity).
+    either run >= ``run`` (an exact phrase) or at least ``run`` aligned words that make up ``near`` of the item (proximity); without
+    ``near``, exact phrases only are looked for.
     """
     rows = items.select(F.col(item_id), words(F.col(item_text))).filter(F.col(item_id).isNotNull())
     rows = [(i, w) for i, w in rows.collect() if w]
@@ -105,38 +156,37 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
     coded = [(i, [number[x] for x in w]) for i, w in rows]
     counts = corpus_counts(docs, text, terms)
     anchors = [(k, q, w[q]) for k, (_, w) in enumerate(coded) for q in anchor_positions(w, counts, run)]
-    anchors.sort(key=lambda a: a[2])
-    shared = docs.sparkSession.sparkContext.broadcast((terms, coded, anchors))
+    close = [proximity_positions(w, counts, run, near) if near is not None else ([], 1) for _, w in coded]
+    near_anchors = [(k, q, w[q]) for k, (_, w) in enumerate(coded) for q in close[k][0]]
+    least = near if near is not None else float("inf")
+    shared = docs.sparkSession.sparkContext.broadcast((terms, coded, anchors, near_anchors, [h for _, h in close]))
     kinds = (docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString())
     item_kind = to_arrow_type(items.schema[item_id].dataType)
     schema = "doc_id {}, item_id {}, run int, aligned int, doc_pos int, item_pos int".format(*kinds)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, coded, anchors = shared.value
+        terms, coded, anchors, near_anchors, hits = shared.value
         voc = _Vocabulary(terms)
         ids, texts = [i for i, _ in coded], [np.array(w) for _, w in coded]
-        a_item, a_pos, a_term = (np.array([a[j] for a in anchors], np.int64) for j in range(3))
-        first, last = (np.searchsorted(a_term, np.arange(len(terms)), side) for side in ("left", "right"))
+        both = [_Anchors(anchors, [ANCHORS] * len(texts), len(terms)), _Anchors(near_anchors, hits, len(terms))]
         longest = max((len(w) for w in texts), default=0)
         table = np.full((len(texts), longest), -2, np.int64)
         for k, w in enumerate(texts):
             table[k, : len(w)] = w
         for b in batches:
-            flat, starts = voc.numbers(b.column(1))
-            # postings of the anchor terms, one row for each item position that the term anchors
-            pos = np.flatnonzero(flat >= 0)
-            pos = pos[last[flat[pos]] > first[flat[pos]]]
-            n = (last - first)[flat[pos]]
-            which = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[flat[pos]], n)
-            diagonal = np.repeat(pos, n) - a_pos[which] + longest
-            key = a_item[which] * (len(flat) + 2 * longest) + diagonal
-            uniq, hits = np.unique(key, return_counts=True)  # one posting for each anchor position: the intersection's size
-            item, d = np.divmod(uniq[hits >= ANCHORS], len(flat) + 2 * longest)
+            words_of_batch, begins = voc.numbers(b.column(1))
             out = []
-            for k in _promising(flat, table, item, d - longest, run, near):
-                w, at = texts[item[k]], int(d[k]) - longest
-                lo, hi = max(0, -at), min(len(w), len(flat) - at)
-                out += _stretches(flat[at + lo : at + hi] == w[lo:hi], lo, at, int(item[k]), starts, run, near * len(w))
+            if not len(terms):
+                continue
+            for first, to in _portions(sum(x.weights(words_of_batch) for x in both), begins):
+                end = begins[to] if to < len(begins) else len(words_of_batch)
+                flat, starts = words_of_batch[begins[first] : end], begins[first:to] - begins[first]
+                item, d = np.divmod(np.union1d(*[x.keys(flat, longest) for x in both]), len(flat) + 2 * longest)
+                for k in _promising(flat, table, item, d - longest, run, least):
+                    w, at = texts[item[k]], int(d[k]) - longest
+                    lo, hi = max(0, -at), min(len(w), len(flat) - at)
+                    found = _stretches(flat[at + lo : at + hi] == w[lo:hi], lo, at, int(item[k]), starts, run, least * len(w))
+                    out += [(o[0] + first, *o[1:]) for o in found]
             if out:
                 doc = b.column(0).take(pa.array([o[0] for o in out]))
                 cols = [doc, pa.array([ids[o[1]] for o in out], item_kind)] + [pa.array([o[j] for o in out], pa.int32()) for j in range(2, 6)]

@@ -151,8 +151,8 @@ h AS (SELECT DISTINCT item_id, array_to_string(w[i:i+11], ' ') AS g FROM (SELECT
 SELECT DISTINCT doc_id, item_id FROM g JOIN h USING (g)"""
 
 
-def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"), run=12)
+def _leaks(spark: SparkSession, sf_dir: str, near: float | None = None) -> DataFrame:
+    return leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "eval_items"), run=12, near=near)
 
 
 @_query("p8_found", _LEAKS_SQL)
@@ -162,7 +162,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("p8_matches")
 def p8_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _leaks(spark, sf_dir).withColumn("kind", F.when(F.col("run") >= 12, "phrase").otherwise("proximity"))
+    return _leaks(spark, sf_dir, near=0.8).withColumn("kind", F.when(F.col("run") >= 12, "phrase").otherwise("proximity"))
 
 
 @_query("p8_items", f"SELECT item_id, count(*) AS documents FROM ({_LEAKS_SQL}) GROUP BY item_id")

@@ -127,6 +127,32 @@ def test_proximity_and_stored_index(spark):
     assert index == {("a1", "x"): [1], ("a3", "x"): [3], ("a1", "y"): [0], ("a3", "y"): [2]}
 
 
+def test_proximity_by_brute_force(spark):
+    rng = random.Random(4)
+    vocabulary = [f"v{i}" for i in range(40)]
+    items = [(k, [rng.choice(vocabulary) for _ in range(rng.randint(10, 30))]) for k in range(20)]
+    docs = []
+    for k in range(80):
+        w = list(rng.choice(items)[1])
+        for q in range(rng.randint(0, 6)):
+            w[rng.randrange(len(w))] = rng.choice(["new", *vocabulary])
+        docs.append((k, [rng.choice(vocabulary) for _ in range(rng.randint(0, 9))] + w))
+    fixed = [f"a{i}" for i in range(20)]
+    items, docs = items + [(77, fixed)], docs + [(777, [x if x != "a10" else "zz" for x in fixed])]
+    want = set()
+    for i, w in docs:
+        for k, x in items:
+            for d in range(-len(x), len(w)):
+                hit = [0 <= q + d < len(w) and w[q + d] == x[q] for q in range(len(x))]
+                best = max(map(len, "".join("x" if h else " " for h in hit).split()), default=0)
+                if best >= 12 or sum(hit) >= max(12, 0.8 * len(x)):
+                    want.add((i, k, best, sum(hit)))
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    got = leaks.find_leaks(d, spark.createDataFrame([(k, " ".join(x)) for k, x in items], "item_id long, text string"), run=12).collect()
+    assert {(r.doc_id, r.item_id, r.run, r.aligned) for r in got} == want and len(got) == len({(r.doc_id, r.item_id, r.doc_pos - r.item_pos) for r in got})
+    assert (777, 77, 10, 19) in want and len([r for r in want if r[2] < 12]) > 10
+
+
 FOLDS = {
     "Đường Bính Miền": ("Đường Bính Miền", False), unicodedata.normalize("NFD", "Đường Bính"): ("Đường Bính", True), "hẻm Chành Nhừnɡ": ("hẻm Chành Nhừng", True), "Кến": ("Kến", True),
     "ｎｇõ Ｍảｎ": ("ngõ Mản", True), "ngân hàng": ("ngân hàng", True), "Hẻ­m": ("Hẻm", True), "phố Мост": ("phố Мост", False), "茶館 スシ・バー": ("茶館 スシ・バー", False), "東京，大阪": ("東京，大阪", False),
