@@ -16,7 +16,7 @@ before its shuffle, and the ledger has one row per key. Only the last join, whic
 meets the whole group on one key; adaptive execution splits that side.
 
 Cases: a null text, a text without any word, or a null id is left out. Ties in time go to the smaller id. Equal rows count
-once. Empty batches leave the ledger as it is; an empty table gives an empty ledger.
+once. Rows without a batch are a batch of their own, the last; a record without a time is later than those with one. Empty batches leave the ledger as it is; an empty table gives an empty ledger.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from quotaloom.workspace import cut, drop, new_path
 
+NO_BATCH = "__no_batch__"  # of rows without one; an empty partition value would come back as null
 MEMBERS = "bucket int, key binary, id string, seen_at timestamp_ntz"
 COUNTS = "bucket int, key binary, copies long, keep_id string, first_seen timestamp_ntz, first_id string"
 
@@ -41,7 +42,7 @@ def canonical_text(text: Column) -> Column:
 
 def canonical_keys(df: DataFrame, *, id_col: str, text_col: str, at: str, buckets: int, batch: Column | None = None) -> DataFrame:
     """(bucket, key, id, seen_at) of every row with a word, and its batch if one is given."""
-    batch = F.lit(None).cast("string") if batch is None else F.coalesce(batch.cast("string"), F.lit(""))
+    batch = F.lit(None).cast("string") if batch is None else F.coalesce(F.nullif(batch.cast("string"), F.lit("")), F.lit(NO_BATCH))
     rows = df.select(F.col(id_col).cast("string").alias("id"), canonical_text(F.col(text_col)).alias("_c"), F.col(at).cast("timestamp_ntz").alias("seen_at"), batch.alias("batch"))
     rows = rows.filter(F.col("id").isNotNull() & (F.col("_c") != ""))
     key = F.unhex(F.md5(F.col("_c")))
@@ -77,12 +78,12 @@ class Ledger:
             once = once.join(self.members().select("bucket", "key", "id"), ["bucket", "key", "id"], "left_anti")
         fresh = cut(once, "ledger-batch")
         added = fresh.groupBy("bucket", "key").agg(
-            F.count("*").alias("b_copies"), F.min("id").alias("b_keep"), F.min(F.struct("seen_at", "id")).alias("b_first")
+            F.count("*").alias("b_copies"), F.min("id").alias("b_keep"), F.min(F.struct(F.col("seen_at").isNull().alias("timeless"), "seen_at", "id")).alias("b_first")
         )
         if self.version:
             old = self.counts()
             both = old.join(added, ["bucket", "key"], "full_outer")
-            first = F.array_min(F.array_compact(F.array(F.when(F.col("first_id").isNotNull(), F.struct(F.col("first_seen").alias("seen_at"), F.col("first_id").alias("id"))), F.col("b_first"))))
+            first = F.array_min(F.array_compact(F.array(F.when(F.col("first_id").isNotNull(), F.struct(F.col("first_seen").isNull().alias("timeless"), F.col("first_seen").alias("seen_at"), F.col("first_id").alias("id"))), F.col("b_first"))))
             merged = both.select(
                 "bucket", "key", (F.coalesce("copies", F.lit(0)) + F.coalesce("b_copies", F.lit(0))).alias("copies"),
                 F.least("keep_id", "b_keep").alias("keep_id"), first["seen_at"].alias("first_seen"), first["id"].alias("first_id"),
@@ -104,8 +105,8 @@ def build_ledger(df: DataFrame, *, id_col: str, text_col: str, at: str, batches:
     """
     staged = cut(canonical_keys(df, id_col=id_col, text_col=text_col, at=at, buckets=buckets, batch=batches), "ledger-stage", ["batch"])
     ledger = Ledger.create(df.sparkSession)
-    for (name,) in sorted(staged.select("batch").distinct().collect()):
-        ledger.apply(staged.filter(F.col("batch") == name).drop("batch"))
+    for (name,) in sorted(staged.select("batch").distinct().collect(), key=lambda r: (r.batch == NO_BATCH, r.batch)):
+        ledger.apply(staged.filter(F.col("batch").eqNullSafe(name)).drop("batch"))
     return ledger
 
 

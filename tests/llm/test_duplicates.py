@@ -162,6 +162,22 @@ def test_ledger(spark):
     assert sorted(map(str, ledger.counts().collect())) == before
 
 
+@pytest.mark.parametrize("every", [1, 3])
+def test_ledger_without_times(spark, every):
+    from pyspark.sql import functions as F
+
+    rows = [(i, t, None if k % every == 0 else at) for k, (i, t, at) in enumerate(ledger_rows())]
+    df = spark.createDataFrame(rows, "id string, text string, loaded_at timestamp_ntz")
+    quarter = F.concat_ws("-", F.year("loaded_at"), F.quarter("loaded_at"))
+    ledger = format_ledger.build_ledger(df, id_col="id", text_col="text", at="loaded_at", batches=quarter, buckets=4)
+    groups, first = defaultdict(set), {}
+    for i, t, at in rows:
+        if i and t is not None and canonical(t):
+            groups[canonical(t)].add(i)
+            first[i] = min(first.get(i, dt.datetime.max), at or dt.datetime.max)
+    assert Counter((r.keep_id, r.copies, r.first_id) for r in ledger.counts().collect()) == Counter((min(g), len(g), min((first[i], i) for i in g)[1]) for g in groups.values())
+
+
 def test_ledger_of_nothing(spark):
     from pyspark.sql import functions as F
 
