@@ -73,8 +73,9 @@ _WIDE = regex.compile(r"[！-～￠-￦]")
 _WIDE_WORD = regex.compile(r"[０-９Ａ-Ｚａ-ｚ]")
 _LETTER = regex.compile(r"\p{L}")
 
-#: JVM-side: a value of these characters only is no case. Fixed ranges: printable ASCII, the alphabet, usual signs.
-PLAIN = r"^[\x20-\x7E" + "".join(sorted(c for c in HOME if ord(c) > 127)) + "–—‘’“”…·°²³½]*$"
+#: JVM-side: a value of these characters only is no case. Fixed ranges: printable ASCII, the alphabet, usual signs. Not $, which in
+#: Java also stands before a last line end.
+PLAIN = r"^[\x20-\x7E" + "".join(sorted(c for c in HOME if ord(c) > 127)) + r"–—‘’“”…·°²³½]*(?![\s\S])"
 
 
 @lru_cache(maxsize=1 << 16)

@@ -192,6 +192,13 @@ def test_folded_table(spark):
     assert got == {("1", "a"): ("Kến", True), ("2", "b"): ("a b", True), (None, "a"): ("Kến", True)}
 
 
+def test_last_line_ends_are_cases(spark):
+    ends = ["\n", "\r\n", "\x85", "\u2028", "\u2029"]
+    df = spark.createDataFrame([(str(k), "phố" + e) for k, e in enumerate(ends)] + [("p", "phố")], "id string, a string")
+    got = {r.row_key: (r.folded, r.is_case) for r in scripts.folded(df, key="id", fields=["a"], table_name="t").collect()}
+    assert got == {str(k): ("phố" + " " * len(e), True) for k, e in enumerate(ends)}
+
+
 def sample_world(spark):
     rows = [(f"i{k:04d}", "big" if k < 3000 else "mid" if k < 3300 else "small" if k < 3310 else None, "c", "d") for k in range(3400)]
     rows += rows[:500] + [(None, "big", "c", "d")]
