@@ -3,8 +3,8 @@
 Per token the resolved script sets of its letters (script extensions; Han also stands for Japanese and Korean; common and
 inherited characters fit any script) are intersected. An empty intersection is a mixed-script token; a token wholly of
 one other script whose letters all have a look-alike in the home alphabet is a whole-script confusable. For a mixed
-token the script in which every letter has a form, its own or a look-alike's, is the consistent one; the home script wins
-where several fit, and the letters are replaced. Then come the remaining forms: composition (NFC), full-width forms,
+token the home script is always the consistent one: letters with a look-alike in it are replaced, the others stay, so a token
+of another script with a home letter in it stays mixed. Then come the remaining forms: composition (NFC), full-width forms,
 invisible characters, and spaces other than U+0020.
 
 A value is a case if it has one of: an accent not in composed form, an invisible character, a space other than U+0020, a
