@@ -15,6 +15,7 @@ Parquet strings.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -29,6 +30,11 @@ from quotaloom.workspace import spread_small
 #: Fixed value: the public vocabulary's pattern of pieces.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"""
 
+#: The same pattern for texts of the characters in ``COMMON`` only, where the standard library's classes agree with it; alternatives
+#: that can't match at one place stand in order of their frequency.
+PATTERN_COMMON = r""" ?[^\W\d_]+| ?\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^\s\w]+(?:_[^\s\w]*)*|_+[^\s\w]*(?:_[^\s\w]*)*)|\s+(?!\S)|\s+"""
+COMMON = r"[\t-\r -\xb1\xb4-\xb8\xba\xbb\xbf-\u024f\u0300-\u036f\u1e00-\u1eff\u2010-\u2027\u2030-\u205e]*"
+
 NONE = 1 << 62
 CACHE_PIECES = 1 << 18
 CACHED_CHARS = 64
@@ -108,7 +114,14 @@ class Encoder:
     def __init__(self, rank_file: bytes, pattern: str = PATTERN) -> None:
         self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, rank_file.splitlines()) if t}
         self.cache = _Cache(self.ranks)
-        self.pieces = regex.compile(pattern).findall
+        self._pieces = regex.compile(pattern).findall
+        common = pattern == PATTERN
+        self._common = re.compile(COMMON).fullmatch if common else lambda text: None
+        self._pieces_common = re.compile(PATTERN_COMMON).findall
+
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of the pattern, which together are the text."""
+        return self._pieces_common(text) if self._common(text) else self._pieces(text)
 
     def encode(self, text: str | None) -> list[int]:
         return list(chain.from_iterable(map(self.cache.__getitem__, self.pieces(text)))) if text else []

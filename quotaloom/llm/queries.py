@@ -141,6 +141,12 @@ def p9_pieces(spark: SparkSession, sf_dir: str, rank_path: str = RANK_FILE) -> D
     return splitting.split_corpus(_table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text", rank_path=rank_path, limit=512, overlap=64)
 
 
+@_query("p9_promises", """SELECT doc_id, n_chars AS covered, md5(text) AS digest, true AS fits, true AS overlaps, true AS natural FROM documents WHERE text <> ''""")
+def p9_promises(spark: SparkSession, sf_dir: str, rank_path: str = RANK_FILE) -> DataFrame:
+    """What holds of the pieces of every document: they cover it, give it back, fit, overlap and end where they say."""
+    return splitting.promises(p9_pieces(spark, sf_dir, rank_path), id_col="doc_id", limit=512, overlap=64)
+
+
 # Problem 8: evaluation passages in training text
 
 _LEAKS_SQL = """

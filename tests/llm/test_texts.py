@@ -1,10 +1,12 @@
 """Encoding, splitting, leaks, folding and sampling: against public libraries, brute force and their own promises."""
 
+import hashlib
 import random
 import re
 import unicodedata
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -52,29 +54,110 @@ def check_parts(text, parts, limit, overlap):
         assert parts == []
         return
     assert parts[0][0] == 0 and parts[-1][1] == len(text)
-    for s, e, n in parts:
+    for s, e, n, _, _ in parts:
         assert s < e and n == len(ENCODER.encode(text[s:e])) <= limit
     for a, b in zip(parts, parts[1:]):
         assert a[0] < b[0] <= a[1] < b[1]
 
 
+BITS = ["ngõ ", "Đường", " phố. ", "\n\n", "\n", "xa!", "漢字。", " ", "  ", "a1b2", "😀", "can't ", "\r\n", "!?\"", "\r", " \n ", "Hẻm"]
+SIZES = st.sampled_from([(32, 8), (64, 16), (16, 0), (64, 8)])
+
+
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.sampled_from(["ngõ ", "Đường", " phố. ", "\n\n", "\n", "xa!", "漢字。", " ", "  ", "a1b2", "😀", "can't ", "\r\n"]), max_size=400).map("".join), st.sampled_from([(32, 8), (64, 16), (16, 0)]))
+@given(st.lists(st.sampled_from(BITS), max_size=400).map("".join), SIZES)
 def test_parts_keep_their_promises(text, how):
     check_parts(text, splitting.split_text(text, ENCODER, *how), *how)
 
 
+def kind_by_look(text, c):
+    """The kind of a cut before code point c between two pieces, by looking at the text."""
+    a, b = len(text[:c].rstrip(WHITE)), len(text) - len(text[c:].lstrip(WHITE))
+    if text[c - 1 : c + 1] == "\r\n":
+        return splitting.INSIDE
+    gone, ahead = (len(re.findall(r"\r\n|[\r\n]", x)) for x in (text[a:c], text[c:b]))
+    stop = bool(re.search(r"[.!?。][\"]*$", text[:a]))
+    if ahead:
+        return splitting.WORD
+    if gone:
+        return splitting.PARAGRAPH if gone > 1 else splitting.LINE
+    if b > a:
+        return splitting.SENTENCE if stop else splitting.WORD
+    return splitting.SENTENCE if stop and text[c - 1] == "。" else splitting.EDGE
+
+
+WHITE = " \r\n"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(BITS), min_size=2, max_size=30).map("".join))
+def test_kinds_of_boundaries(text):
+    pieces, table = ENCODER.pieces(text), splitting._table(ENCODER)
+    places = [sum(map(len, pieces[:k])) for k in range(1, len(pieces))]
+    got = splitting.boundary_kinds(table.facts[:, [table[p] for p in pieces]]).tolist()
+    assert got == [kind_by_look(text, c) for c in places]
+
+
+def cheapest_by_search(total, kinds, limit, overlap):
+    """The least cost of all plans by trying every end and every start that is offered, one part after the other."""
+    n, low, high, least = len(total) - 1, overlap // 2, overlap + overlap // 2, limit // 2
+    fewest = max(2, -(-(total[n] - low) // (limit - low)))
+    fair = (total[n] + overlap * (fewest - 1)) / fewest
+    cost = {0: 0.0}
+    for level in (splitting.SENTENCE, splitting.WORD, splitting.EDGE, splitting.INSIDE):
+        ends = [e for e in range(1, n) if kinds[e] <= level]
+        offered = set(splitting._starts(total, kinds, np.array(ends, int), overlap).tolist())
+        cost, best = {0: 0.0}, float("inf")
+        for e in [*ends, n]:
+            here = [c + splitting.BALANCE * ((total[e] - total[s] - fair) / limit) ** 2 for s, c in cost.items() if least < total[e] - total[s] <= limit]
+            if not here:
+                continue
+            c = min(here) + splitting.PART + splitting.PENALTY[kinds[e]]
+            if e == n:
+                best = c
+            for s in offered if e < n else ():
+                if low <= total[e] - total[s] <= high:
+                    x = c + splitting.START[kinds[s]] + splitting.SHIFT * ((total[e] - total[s] - overlap) / max(overlap, 1)) ** 2
+                    cost[s] = min(cost.get(s, float("inf")), x)
+        if best <= fewest * splitting.PART + splitting.PENALTY[level + 1]:
+            return best
+    return best
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 6), st.sampled_from([0, 1, 2, 3, 3, 3, 4, 5])), min_size=25, max_size=90), st.sampled_from([(64, 16), (48, 8), (80, 16)]))
+def test_plans_are_the_best(units, how):
+    total = np.concatenate([[0], np.cumsum([n for n, _ in units])])
+    kinds = np.array([splitting.END, *(k for _, k in units[1:]), splitting.END])
+    if total[-1] <= how[0]:
+        return
+    doc = splitting._Doc(np.arange(len(total)), total, kinds)
+    other = splitting._Doc(np.arange(len(total)), np.append(0, np.cumsum(np.diff(total)[::-1])), kinds[::-1])
+    for alone in ([doc], [other, doc, other]):
+        plan = splitting.best_plans(alone, *how)[len(alone) // 2]
+        assert (price(plan, total, kinds, *how) if plan else float("inf")) == pytest.approx(cheapest_by_search(total, kinds, *how))
+
+
+def price(plan, total, kinds, limit, overlap):
+    fewest = max(2, -(-(total[-1] - overlap // 2) // (limit - overlap // 2)))
+    fair = (total[-1] + overlap * (fewest - 1)) / fewest
+    ends = sum(splitting.PENALTY[kinds[e]] + splitting.PART + splitting.BALANCE * ((total[e] - total[s] - fair) / limit) ** 2 for s, e in plan)
+    return ends + sum(splitting.START[kinds[b[0]]] + splitting.SHIFT * ((total[a[1]] - total[b[0]] - overlap) / max(overlap, 1)) ** 2 for a, b in zip(plan, plan[1:]))
+
+
 def test_parts_cut_at_the_best_boundaries():
     paragraph = " ".join(["Đi thẳng qua cầu rồi rẽ trái ở ngã ba."] * 6)
     text = "\n\n".join([paragraph] * 12)
     parts = splitting.split_text(text, ENCODER)
     check_parts(text, parts, 512, 64)
-    assert len(parts) > 2 and all(text[:e].endswith("\n\n") for _, e, _ in parts[:-1])
+    assert len(parts) > 2 and all(text[:p[1]].endswith("\n\n") for p in parts[:-1])
     for a, b in zip(parts, parts[1:]):
-        assert 40 <= len(ENCODER.encode(text[b[0] : a[1]])) <= 90
-    for text in ("đường" * 3000, " " * 4000, "a" * 9000, "x y " * 4000, "\n" * 3000):
+        assert 32 <= b[3] <= 96 and abs(len(ENCODER.encode(text[b[0] : a[1]])) - b[3]) <= 2
+    dense = "=" * 20_000 + "😀" * 300 + "=" * 20_000
+    for text in ("đường" * 3000, " " * 4000, "a" * 9000, "x y " * 4000, "\n" * 3000, dense, "漢" * 3000, "một câu dài. " * 6000):
         check_parts(text, splitting.split_text(text, ENCODER), 512, 64)
-    assert splitting.split_text("ngắn", ENCODER) == [(0, 4, len(ENCODER.encode("ngắn")))]
+    check_parts(dense[:9000], [(s, e, n, x, k) for s, e, n, x, k in splitting._longest(dense[:9000], ENCODER, 512, 64)], 512, 64)
+    assert splitting.split_text("ngắn", ENCODER) == [(0, 4, len(ENCODER.encode("ngắn")), 0, splitting.END)]
 
 
 def test_split_corpus(spark):
@@ -85,6 +168,16 @@ def test_split_corpus(spark):
     assert all(r.n_tokens <= 512 and r.text == dict((i, t) for i, t in rows[:4]).get(r.doc_id, "")[r.start : r.end] for r in got if not (r.doc_id == 4 and r.text == "ngắn"))
 
 
+def test_promises_are_told_from_the_parts(spark):
+    df = spark.createDataFrame([(1, "một câu. " * 500), (2, "dòng\r\n" * 900), (3, "đường" * 900)], "doc_id long, text string")
+    parts = splitting.split_corpus(df, id_col="doc_id", text_col="text", rank_path=RANK_FILE)
+    got = splitting.promises(parts, id_col="doc_id", limit=512, overlap=64).collect()
+    assert len(got) == 3 and all(r.fits and r.overlaps and r.natural for r in got)
+    assert {r.doc_id: r.digest for r in got} == {r.doc_id: hashlib.md5(r.text.encode()).hexdigest() for r in df.collect()}
+    broken = splitting.promises(parts.filter("piece_no <> 1"), id_col="doc_id", limit=100, overlap=64).collect()
+    assert not any(r.fits for r in broken) and {r.digest for r in broken}.isdisjoint(r.digest for r in got)
+
+
 def words_of(text):
     return re.findall(r"[^\W_]+", (text or "").lower())
 
