@@ -20,6 +20,24 @@ def latest(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return got.select(*[F.col(c) if c == key else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
+def latest_rows(df: DataFrame, key: str, at: str, columns: list[str]) -> DataFrame:
+    """The last row of each key by ``at``, with ``columns`` only, for tables where few keys come more than once.
+
+    Only keys and times are aggregated, in fixed width; rows of keys that come once stay where they are. Of different rows of one
+    key at one time the greatest counts. Null keys are left out.
+    """
+    rest = [c for c in dict.fromkeys(columns) if c not in (key, at)]
+    rows = df.select(key, F.col(at).alias("_at"), *rest, *([F.col(at)] if at in columns else [])).filter(F.col(key).isNotNull())
+    again = rows.groupBy(F.col(key).alias("_k")).agg(F.count("*").alias("_n"), F.max("_at").alias("_last")).filter("_n > 1").select("_k", "_last")
+    once = rows.join(again, F.col(key) == F.col("_k"), "left_anti").select(*columns)
+    named = [c for c in dict.fromkeys(columns) if c != key]
+    if not named:
+        return once.unionByName(again.select(F.col("_k").alias(key)))
+    several = rows.join(again, (F.col(key) == F.col("_k")) & F.col("_at").eqNullSafe(F.col("_last")))
+    several = several.groupBy(key).agg(F.array_max(F.collect_set(F.struct(*named))).alias("_r"))  # equal deliveries are one
+    return once.unionByName(several.select(*[F.col(c) if c == key else F.col(f"_r.{c}").alias(c) for c in columns]))
+
+
 def first_per_group(df: DataFrame, keys: list[Column], order: list[str]) -> DataFrame:
     """The first row of each group by ``order``, which must be total."""
     named = [k.alias(f"_k{i}") for i, k in enumerate(keys)]
@@ -77,7 +95,7 @@ def by_precedence(rows: DataFrame, weights: DataFrame, axis: str, levels: list[s
     out = rows
     for i, level in enumerate(levels):
         w = weights.filter(F.col("level") == level).select(F.col("key").alias(f"_key{i}"), F.col(axis).alias(f"_v{i}"), F.col("weight").alias(f"_w{i}"))
-        out = out.join(F.broadcast(w), (F.col(level) == F.col(f"_key{i}")) & (F.col(axis) == F.col(f"_v{i}")), "left").drop(f"_key{i}", f"_v{i}")
+        out = out.join(w, (F.col(level) == F.col(f"_key{i}")) & (F.col(axis) == F.col(f"_v{i}")), "left").drop(f"_key{i}", f"_v{i}")
     return out.withColumn("weight", F.coalesce(*[F.col(f"_w{i}") for i in range(len(levels))])).drop(*[f"_w{i}" for i in range(len(levels))])
 
 

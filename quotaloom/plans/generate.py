@@ -39,8 +39,9 @@ def bank(spark: SparkSession) -> DataFrame:
 def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speakable entities of known provinces, and the provinces themselves."""
     p = provinces(spark, sf_dir)
-    s = samples(spark, sf_dir).filter("entity_id is not null and category <> 'address'")
-    e = R.first_per_group(s.select("entity_id", "id", "entity", "category", "subcategory", "province", "district"), [F.col("entity_id")], ["id"])
+    cols = ["entity", "category", "subcategory", "province", "district"]
+    s = samples(spark, sf_dir, "entity_id", *cols).filter("entity_id is not null and category <> 'address'")
+    e = R.first_per_group(s.select("entity_id", "id", *cols), [F.col("entity_id")], ["id"])
     e = e.join(p.select("province_id", F.col("name_current").alias("province")), "province").withColumn("name", N.squeeze(N.nfc(F.col("entity"))))
     e = e.filter(N.is_speakable(F.col("name"))).select("entity_id", "name", "category", "subcategory", "province_id", F.coalesce("district", F.lit("")).alias("district"), F.lit("").alias("unit_type"), F.lit(1.0).alias("weight"))
     own = p.select(F.concat(F.lit("province_"), "province_id").alias("entity_id"), F.col("name_current").alias("name"), F.lit("admin_unit").alias("category"), F.lit("province").alias("subcategory"), "province_id", F.lit("").alias("district"), F.lit("tỉnh").alias("unit_type"), F.lit(5.0).alias("weight"))
@@ -97,7 +98,7 @@ have AS (SELECT province_id, category, sentence_type, count(*) AS n FROM samp JO
 def _gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["province_id", "category", "sentence_type"]
     plan = table(spark, sf_dir, "plan_small").distinct().groupBy(*keys).agg(F.sum("target_count").cast("long").alias("target")).filter("target > 0")
-    s = samples(spark, sf_dir).join(F.broadcast(provinces(spark, sf_dir).select("province_id", F.col("name_current").alias("province"))), "province")
+    s = samples(spark, sf_dir, "province", "category", "sentence_type").join(provinces(spark, sf_dir).select("province_id", F.col("name_current").alias("province")), "province")
     have = s.groupBy(*keys).agg(F.count("*").alias("n"))
     return plan.join(have, keys, "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long"))).withColumn("gap", F.col("target") - F.col("n"))
 
@@ -126,7 +127,7 @@ SELECT id, category FROM (SELECT id, coalesce(category, '') AS category, row_num
 @query("finalize_exact", with_views("samp") + ", " + _FINAL_SQL)
 def finalize_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exactly FINAL rows, each category by its share."""
-    s = samples(spark, sf_dir).select("id", F.coalesce("category", F.lit("")).alias("category"))
+    s = samples(spark, sf_dir, "category").select("id", F.coalesce("category", F.lit("")).alias("category"))
     k = s.groupBy("category").agg(F.count("*").cast("double").alias("n"))
     quota = Q.largest_remainder(Q.normalized(k, "n"), "share", F.lit(FINAL), ["category"], out="quota").select("category", "quota")
     w = Window.partitionBy("category").orderBy(uniform("42", F.col("id"), "final"), "id")
@@ -137,7 +138,7 @@ def finalize_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
  round(pow(greatest({uniform_sql("'42'", "id", "'review'")}, 1e-12), 1.0), 12) DESC, id) AS rn FROM samp WHERE category IS NOT NULL AND sentence_type IS NOT NULL) WHERE rn <= 3""")
 def stratified_review_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q9."""
-    s = samples(spark, sf_dir).filter("category is not null and sentence_type is not null")
+    s = samples(spark, sf_dir, "category", "sentence_type").filter("category is not null and sentence_type is not null")
     key = race_key(uniform("42", F.col("id"), "review"), F.lit(1.0))
     return R.ranked(s, ["category", "sentence_type"], [key.desc(), F.col("id")], "rn").filter("rn <= 3").select("id", "category", "sentence_type")
 

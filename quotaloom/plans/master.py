@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotaloom.functions.names import fold_search
+from quotaloom.operators import quality as Y
 from quotaloom.operators import relational as R
 from quotaloom.plans.registry import query, table
 
@@ -22,7 +23,6 @@ SUBCATEGORIES = {
 }
 TAXONOMY = [(c, s) for c, subs in SUBCATEGORIES.items() for s in subs]
 _TAXONOMY_SQL = "(VALUES " + ", ".join(f"('{c}', '{s}')" for c, s in TAXONOMY) + ") t(category, subcategory)"
-ENTITY = ["entity", "category", "subcategory", "province", "source"]
 
 # The SQL of the derived tables, by name; each query's SQL gets those it names.
 VIEWS = {
@@ -45,13 +45,19 @@ def provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.latest(table(spark, sf_dir, "provinces").drop("deleted_at"), "province_id", ["loaded_at"])
 
 
-def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.latest(table(spark, sf_dir, "districts").drop("deleted_at"), "district_id", ["loaded_at", "row_id"]).withColumn("province_id", R.key_text(F.col("province_id")))
+def _latest_units(spark: SparkSession, sf_dir: str, name: str, key: str, columns: tuple[str, ...]) -> DataFrame:
+    """The last delivery of each unit; of its columns only those asked for go through the aggregate."""
+    columns = columns or tuple(c for c in table(spark, sf_dir, name).columns if c not in ("deleted_at", "row_id", "loaded_at"))
+    got = R.latest(table(spark, sf_dir, name).select(*dict.fromkeys((key, "loaded_at", "row_id", *columns))), key, ["loaded_at", "row_id"])
+    return got.select(*[R.key_text(F.col(c)).alias(c) if c != key and c in ("district_id", "province_id") else F.col(c) for c in dict.fromkeys((key, *columns))])
 
 
-def wards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = R.latest(table(spark, sf_dir, "wards"), "ward_id", ["loaded_at", "row_id"])
-    return w.withColumn("district_id", R.key_text(F.col("district_id"))).withColumn("province_id", R.key_text(F.col("province_id")))
+def districts(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return _latest_units(spark, sf_dir, "districts", "district_id", columns)
+
+
+def wards(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return _latest_units(spark, sf_dir, "wards", "ward_id", columns)
 
 
 def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,14 +65,17 @@ def aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.distinct()
 
 
-def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.latest(table(spark, sf_dir, "generate_small"), "id", ["loaded_at"]).drop("generated_at", "loaded_at")
+def samples(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """(id, columns) of each record once; no other column is read."""
+    return R.latest_rows(table(spark, sf_dir, "generate_small"), "id", "loaded_at", ["id", *(c for c in columns if c != "id")])
 
 
-def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per entity, the one of its smallest record id."""
-    s = samples(spark, sf_dir).filter("entity_id is not null").select("entity_id", "id", *ENTITY)
-    return R.first_per_group(s, [F.col("entity_id")], ["id"]).select("entity_id", *ENTITY)
+def entities(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """(entity_id, columns) of each entity, from its smallest record id in its last delivery: one aggregate over the
+    columns asked for, without first looking for repeated deliveries."""
+    s = table(spark, sf_dir, "generate_small").filter("entity_id is not null and id is not null")
+    s = s.select("entity_id", "id", (-F.unix_micros(F.col("loaded_at").cast("timestamp"))).alias("_late"), *columns)
+    return R.first_per_group(s, [F.col("entity_id")], ["id", "_late"]).select("entity_id", *columns)
 
 
 def counted(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -80,10 +89,10 @@ LEFT JOIN (SELECT coalesce(dist.province_id, ward.province_id) AS province_id, c
 LEFT JOIN (SELECT province, count(*) AS n FROM ent GROUP BY 1) e ON e.province = prov.name_current
 LEFT JOIN (SELECT province_id, count(*) AS n FROM alias GROUP BY 1) a USING (province_id)""")
 def coverage_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A4: each dimension is aggregated before it is joined, so no join fans out."""
-    d = districts(spark, sf_dir)
-    w = R.two_path_parent(wards(spark, sf_dir), d, "district_id", "province_id").select(F.col("resolved").alias("province_id"))
-    e = entities(spark, sf_dir).select(F.col("province").alias("name_current"))
+    """A1, A4: each dimension is aggregated before it is joined, so no join fans out."""
+    d = districts(spark, sf_dir, "province_id")
+    w = R.two_path_parent(wards(spark, sf_dir, "district_id", "province_id"), d, "district_id", "province_id").select(F.col("resolved").alias("province_id"))
+    e = entities(spark, sf_dir, "province").select(F.col("province").alias("name_current"))
     out = provinces(spark, sf_dir).select("province_id", "name_current")
     for n, key, name in ((d, "province_id", "districts"), (w, "province_id", "wards"), (e, "name_current", "entities"), (aliases(spark, sf_dir), "province_id", "aliases")):
         out = out.join(counted(n, key, name), key, "left")
@@ -94,8 +103,11 @@ def coverage_by_province(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'provinces' AS name, count(*) AS n FROM prov UNION ALL SELECT 'districts', count(*) FROM dist UNION ALL SELECT 'wards', count(*) FROM ward
 UNION ALL SELECT 'aliases', count(*) FROM alias UNION ALL SELECT 'entities', count(*) FROM ent""")
 def master_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = {"provinces": provinces, "districts": districts, "wards": wards, "aliases": aliases, "entities": entities}
-    return R.union_all(*[f(spark, sf_dir).agg(F.count("*").alias("n")).select(F.lit(k).alias("name"), "n") for k, f in parts.items()])
+    """A1: keys alone are read and counted."""
+    keys = {"provinces": ("provinces", "province_id"), "districts": ("districts", "district_id"), "wards": ("wards", "ward_id"), "entities": ("generate_small", "entity_id")}
+    parts = {k: table(spark, sf_dir, t).filter("id is not null" if t == "generate_small" else "true").select(c).filter(F.col(c).isNotNull()).distinct() for k, (t, c) in keys.items()}
+    parts["aliases"] = aliases(spark, sf_dir)
+    return R.union_all(*[d.agg(F.count("*").alias("n")).select(F.lit(k).alias("name"), "n") for k, d in parts.items()])
 
 
 @query("entity_union", with_views("ent", "dist", "ward") + """
@@ -105,33 +117,35 @@ def entity_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     def unit(df: DataFrame, kind: str) -> DataFrame:
         return df.select(F.concat_ws("_", F.lit(kind), f"{kind}_id").alias("ref"), "name", F.lit("admin_unit").alias("category"), F.lit(kind).alias("subcategory"))
 
-    e = entities(spark, sf_dir).select(F.col("entity_id").alias("ref"), F.col("entity").alias("name"), "category", "subcategory")
-    return R.union_all(e, unit(districts(spark, sf_dir), "district"), unit(wards(spark, sf_dir), "ward"))
+    e = entities(spark, sf_dir, "entity", "category", "subcategory").select(F.col("entity_id").alias("ref"), F.col("entity").alias("name"), "category", "subcategory")
+    return R.union_all(e, unit(districts(spark, sf_dir, "name"), "district"), unit(wards(spark, sf_dir, "name"), "ward"))
 
 
 @query("category_histogram", with_views("ent") + "SELECT coalesce(category, '') AS category, coalesce(subcategory, '') AS subcategory, count(*) AS n FROM ent GROUP BY 1, 2")
 def category_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = entities(spark, sf_dir).select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("category", "subcategory")])
+    e = entities(spark, sf_dir, "category", "subcategory").select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("category", "subcategory")])
     return e.groupBy("category", "subcategory").agg(F.count("*").alias("n"))
 
 
-@query("empty_categories", with_views("ent") + f"SELECT t.* FROM {_TAXONOMY_SQL} WHERE NOT EXISTS (SELECT 1 FROM ent WHERE ent.category = t.category AND ent.subcategory = t.subcategory AND ent.source = 'manual')")
+@query("empty_categories", with_views("ent") + f"SELECT t.*, s.source FROM {_TAXONOMY_SQL}, (VALUES ('all'), ('manual'), ('osm')) s(source) WHERE NOT EXISTS (SELECT 1 FROM ent WHERE ent.category = t.category AND ent.subcategory = t.subcategory AND (s.source = 'all' OR ent.source = s.source))")
 def empty_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Subcategories without an entity from hand-kept sources."""
-    domain = spark.createDataFrame(TAXONOMY, "category string, subcategory string")
-    return domain.join(entities(spark, sf_dir).filter("source = 'manual'"), ["category", "subcategory"], "left_anti")
+    """Subcategories of the taxonomy without an entity, by source: ``all`` sources, or each alone."""
+    domain = spark.createDataFrame(TAXONOMY, "category string, subcategory string").withColumn("source", F.explode(F.array(*[F.lit(x) for x in ("all", "manual", "osm")])))
+    e = entities(spark, sf_dir, "category", "subcategory", "source").select("category", "subcategory", F.explode(F.array(F.lit("all"), F.col("source"))).alias("source"))
+    return domain.join(e.distinct(), ["category", "subcategory", "source"], "left_anti")
 
 
 @query("duplicate_names_topk", with_views("ent") + """
 SELECT province, entity, n, array_to_string(ids[1:5], ',') AS ids FROM (SELECT province, entity, count(*) AS n, list_sort(list(entity_id)) AS ids FROM ent GROUP BY 1, 2 HAVING count(*) > 1)
 ORDER BY n DESC, province NULLS FIRST, entity NULLS FIRST LIMIT 50""")
 def duplicate_names_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names that several entities of a province share; only the five smallest ids are kept while aggregating."""
-    e = entities(spark, sf_dir)
-    w = Window.partitionBy("province", "entity")
-    low = e.withColumn("_r", F.row_number().over(w.orderBy("entity_id"))).groupBy("province", "entity")
-    got = low.agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("_r") <= 5, F.col("entity_id")))), ",").alias("ids"))
-    return got.filter("n > 1").orderBy(F.desc("n"), "province", "entity").limit(50)
+    """Names that several entities of a province share, the 50 most frequent with their five smallest ids. Counts alone decide
+    the 50; only their entities are ranked, with the limit of five below the shuffle."""
+    e = entities(spark, sf_dir, "province", "entity")
+    top = e.groupBy("province", "entity").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"), "province", "entity").limit(50)
+    of_top = e.join(top, e["province"].eqNullSafe(top["province"]) & e["entity"].eqNullSafe(top["entity"])).select(top["province"], top["entity"], "n", "entity_id")
+    low = Y.keep_per_group(of_top, ["province", "entity"], ["entity_id"], 5)
+    return low.groupBy("province", "entity", "n").agg(F.array_join(F.array_sort(F.collect_list("entity_id")), ",").alias("ids"))
 
 
 @query("tier_distribution", with_views("prov") + "SELECT popularity_tier AS tier, count(*) AS n, sum(CASE popularity_tier WHEN 1 THEN 6 WHEN 2 THEN 2 ELSE 1 END * CASE WHEN is_municipality THEN 1.5 ELSE 1 END)::DOUBLE AS weight FROM prov GROUP BY 1")
@@ -163,7 +177,7 @@ SELECT province, count(*) AS n, coalesce(max(a.pid), max(c.pid), '') AS province
 WHERE province IS NOT NULL GROUP BY 1""")
 def alias_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names in records resolved to provinces; counted before they are joined."""
-    names = counted(samples(spark, sf_dir).filter("province is not null"), "province", "n")
+    names = counted(samples(spark, sf_dir, "province").filter("province is not null"), "province", "n")
     a = table(spark, sf_dir, "province_alias").withColumn("province_id", R.key_text(F.col("province_id"))).filter("province_id is not null")
     got = R.alias_lookup(names, "province", a, "alias", provinces(spark, sf_dir), "name_current", "province_id", ["loaded_at", "row_id"])
     return got.select("province", "n", F.coalesce("province_id", F.lit("")).alias("province_id"))
@@ -174,7 +188,7 @@ SELECT province_id, coalesce(n, 0) AS landmarks, coalesce(n, 0) >= 8 AS enough,
 LEFT JOIN (SELECT province, count(*) AS n FROM ent WHERE category = 'landmark' GROUP BY 1) e ON e.province = prov.name_current""")
 def master_coverage_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Provinces without any landmark come out too."""
-    e = entities(spark, sf_dir).filter("category = 'landmark'").groupBy(F.col("province").alias("name_current")).agg(F.count("*").alias("n"))
+    e = entities(spark, sf_dir, "category", "province").filter("category = 'landmark'").groupBy(F.col("province").alias("name_current")).agg(F.count("*").alias("n"))
     n = F.coalesce("n", F.lit(0).cast("long"))
     return provinces(spark, sf_dir).join(e, "name_current", "left").select("province_id", n.alias("landmarks"), (n >= 8).alias("enough"), "region")
 
@@ -206,7 +220,7 @@ SELECT ward_id, legacy_alias, coalesce(dist.province_id, ward.province_id) AS pr
 WHERE legacy_alias <> '' AND NOT EXISTS (SELECT 1 FROM alias WHERE alias_type = 'legacy' AND alias.alias = legacy_alias AND alias.province_id = coalesce(dist.province_id, ward.province_id))""")
 def hint_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hints that are no legacy alias of the ward's province, which is resolved on both paths first."""
-    w = R.two_path_parent(wards(spark, sf_dir).filter("legacy_alias <> ''"), districts(spark, sf_dir), "district_id", "province_id")
+    w = R.two_path_parent(wards(spark, sf_dir, "district_id", "province_id", "legacy_alias").filter("legacy_alias <> ''"), districts(spark, sf_dir, "province_id"), "district_id", "province_id")
     known = aliases(spark, sf_dir).filter("alias_type = 'legacy'").select(F.col("province_id").alias("resolved"), F.col("alias").alias("legacy_alias"))
     return w.join(known, ["resolved", "legacy_alias"], "left_anti").select("ward_id", "legacy_alias", F.col("resolved").alias("province_id"))
 
@@ -216,14 +230,14 @@ SELECT entity_id, entity, province, source FROM ent WHERE source = 'manual' UNIO
 AND NOT EXISTS (SELECT 1 FROM ent m WHERE m.source = 'manual' AND m.province = o.province AND lower(m.entity) = lower(o.entity))""")
 def manual_wins_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J6."""
-    e = entities(spark, sf_dir).select("entity_id", "entity", "province", "source")
+    e = entities(spark, sf_dir, "entity", "province", "source")
     return R.prefer_left(e.filter("source = 'manual'"), e.filter("source = 'osm'"), [F.col("province"), F.lower("entity")])
 
 
 @query("two_path_parent", with_views("ward", "dist") + "SELECT ward_id, coalesce(dist.province_id, ward.province_id) AS province_id FROM ward LEFT JOIN dist ON dist.district_id = ward.district_id")
 def two_path_parent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3."""
-    return R.two_path_parent(wards(spark, sf_dir), districts(spark, sf_dir), "district_id", "province_id").select("ward_id", F.col("resolved").alias("province_id"))
+    return R.two_path_parent(wards(spark, sf_dir, "district_id", "province_id"), districts(spark, sf_dir, "province_id"), "district_id", "province_id").select("ward_id", F.col("resolved").alias("province_id"))
 
 
 @query("first_per_group_lowest_id", "SELECT min(p_partkey) AS p_partkey, arg_min(p_name, p_partkey) AS p_name, p_brand FROM part GROUP BY lower(p_name), p_brand")
@@ -246,7 +260,7 @@ def reconciliation_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT entity_id, entity FROM ent WHERE category = 'street' AND contains(replace(strip_accents(lower(nfc_normalize(entity))), 'đ', 'd'), 'duong') ORDER BY entity_id LIMIT 25 OFFSET 25""")
 def paged_filtered_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P12, T2, T3."""
-    e = entities(spark, sf_dir).filter((F.col("category") == "street") & fold_search(F.col("entity")).contains("duong"))
+    e = entities(spark, sf_dir, "category", "entity").filter((F.col("category") == "street") & fold_search(F.col("entity")).contains("duong"))
     return R.page(e.select("entity_id", "entity"), ["entity_id"], 2, 25)
 
 
@@ -254,7 +268,7 @@ def paged_filtered_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT id FROM samp WHERE sentence_type = 'search' AND contains(replace(strip_accents(lower(text)), 'đ', 'd'), 'thanh pho')""")
 def folded_text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8, P13."""
-    s = samples(spark, sf_dir).filter((F.col("sentence_type") == "search") & fold_search(F.col("text")).contains("thanh pho"))
+    s = samples(spark, sf_dir, "sentence_type", "text").filter((F.col("sentence_type") == "search") & fold_search(F.col("text")).contains("thanh pho"))
     return s.select("id")
 
 
@@ -279,4 +293,4 @@ def tile_dedupe_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 def null_to_empty_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P11."""
     cols = ("province_legacy", "district", "ward", "street", "address")
-    return samples(spark, sf_dir).select("id", *[F.coalesce(c, F.lit("")).alias(c) for c in cols])
+    return samples(spark, sf_dir, *cols).select("id", *[F.coalesce(c, F.lit("")).alias(c) for c in cols])

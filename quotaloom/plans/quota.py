@@ -71,7 +71,7 @@ def largest_remainder_quota(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _feasible(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of province and category that have an entity; addresses use the streets."""
-    e = entities(spark, sf_dir).join(provinces(spark, sf_dir).select("province_id", F.col("name_current").alias("province")), "province")
+    e = entities(spark, sf_dir, "category", "province").join(provinces(spark, sf_dir).select("province_id", F.col("name_current").alias("province")), "province")
     pairs = e.filter(F.col("category").isin(*CATEGORIES)).select("province_id", "category").distinct()
     return pairs.unionByName(pairs.filter("category = 'street'").withColumn("category", F.lit("address"))).distinct()
 
@@ -138,7 +138,7 @@ h AS (SELECT province_id, category, count(*) AS pool FROM ent JOIN prov ON prov.
 SELECT w.*, coalesce(pool, 0) AS pool FROM w LEFT JOIN h USING (province_id, category) WHERE planned > coalesce(pool, 0) * 10""")
 def plan_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A20."""
-    pool = entities(spark, sf_dir).join(provinces(spark, sf_dir).select("province_id", F.col("name_current").alias("province")), "province")
+    pool = entities(spark, sf_dir, "category", "province").join(provinces(spark, sf_dir).select("province_id", F.col("name_current").alias("province")), "province")
     return Q.capacity_violations(plan_cells(spark, sf_dir), pool, ["province_id", "category"], 10)
 
 
@@ -163,7 +163,7 @@ def cell_ids_and_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("variation_keys", with_views("samp") + "SELECT name_variant || '+' || number_style || '+' || 'no_prefix' || '+' || register AS key, count(*) AS n FROM samp WHERE name_variant IS NOT NULL AND number_style IS NOT NULL AND register IS NOT NULL GROUP BY 1")
 def variation_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F14."""
-    s = samples(spark, sf_dir).filter("name_variant is not null and number_style is not null and register is not null")
+    s = samples(spark, sf_dir, "name_variant", "number_style", "register").filter("name_variant is not null and number_style is not null and register is not null")
     return s.groupBy(F.concat_ws("+", "name_variant", "number_style", F.lit("no_prefix"), "register").alias("key")).agg(F.count("*").alias("n"))
 
 
@@ -227,7 +227,7 @@ SELECT category, register, value, coalesce((SELECT weight::DOUBLE FROM {_AXIS_SQ
  (SELECT weight::DOUBLE FROM {_AXIS_SQL} WHERE level = 'default' AND w.value = r.value)) AS weight FROM r""")
 def axis_weight_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Category before register before default."""
-    s = samples(spark, sf_dir).select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("category", "register")]).distinct()
+    s = table(spark, sf_dir, "generate_small").filter("id is not null").select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("category", "register")]).distinct()
     s = s.withColumn("value", F.explode(F.array(F.lit("present"), F.lit("absent")))).withColumn("default", F.lit(""))
     w = spark.createDataFrame(AXIS_WEIGHTS, "level string, key string, value string, weight double")
     return R.by_precedence(s, w, "value", ["category", "register", "default"]).select("category", "register", "value", "weight")
@@ -246,7 +246,8 @@ def coverage_matrix_full_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("marginals", with_views("samp") + "SELECT axis, value, count(*) AS n FROM (" + " UNION ALL ".join(f"SELECT '{a}' AS axis, {a} AS value FROM samp" for a in ("province", "category", "sentence_type", "register", "name_variant")) + ") GROUP BY ALL")
 def marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A10, A16, A26."""
-    return R.marginals(samples(spark, sf_dir), ["province", "category", "sentence_type", "register", "name_variant"])
+    axes = ["province", "category", "sentence_type", "register", "name_variant"]
+    return R.marginals(samples(spark, sf_dir, *axes), axes)
 
 
 @query("option_space_product", "SELECT register, (a * b * c * d)::BIGINT AS options FROM (VALUES ('formal', 5, 5, 1, 4), ('neutral', 5, 5, 3, 4), ('casual', 6, 5, 7, 4)) t(register, a, b, c, d)")

@@ -16,7 +16,7 @@ from quotaloom.workspace import spread_small
 TEMPLATES = [
     ("nav_command_formal_medium_001", "nav_command", "formal", "medium", "opener,entity,closer", "{opener}dẫn tôi tới {entity}{closer}"),
     ("nav_command_casual_short_001", "nav_command", "casual", "short", "entity,closer", "tới {entity}{closer}"),
-    ("search_neutral_short_001", "search", "neutral", "short", "opener,entity,closer", "{opener}tìm giúp tôi {entity}{closer}"),
+    ("search_neutral_short_001", "search", "neutral", "short", "opener,entity,closer", "{opener}giúp em tìm {entity}{closer}"),
     ("search_neutral_medium_001", "search", "neutral", "medium", "opener,entity,closer", "{opener}mình cần tìm {entity} ở đâu{closer}"),
     ("route_question_formal_medium_001", "route_question", "formal", "medium", "opener,entity,closer", "{opener}cho hỏi đi tới {entity} được không{closer}"),
     ("conversational_casual_long_001", "conversational", "casual", "long", "opener,entity,closer", "{opener}mình đang ghé {entity}, chắc còn lâu lắm{closer}"),
@@ -57,21 +57,21 @@ _PLAIN = _SQUEEZE % rf"regexp_replace({_SPOKEN}, '[()|_·!''\"–—-]', ' ', 'g
 @query("normalized_names", with_views("ent") + f"SELECT entity_id, {_SQUEEZE % 'nfc_normalize(entity)'} AS name FROM ent")
 def normalized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 over names with decomposed accents and odd blanks."""
-    return entities(spark, sf_dir).select("entity_id", N.normalize_name(F.col("entity")).alias("name"))
+    return entities(spark, sf_dir, "entity").select("entity_id", N.normalize_name(F.col("entity")).alias("name"))
 
 
 @query("plain_names", with_views("ent") + f"SELECT entity_id, {_PLAIN} AS name FROM ent")
 def plain_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2 up to its last step."""
     raw = F.concat("entity", F.when(F.col("entity_id").endswith("7"), " (Tp.A&B) - x;y").otherwise(""))
-    return entities(spark, sf_dir).select("entity_id", N.plain_name(N.nfc(raw)).alias("name"))
+    return entities(spark, sf_dir, "entity").select("entity_id", N.plain_name(N.nfc(raw)).alias("name"))
 
 
 @query("clean_names")
 def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2, P3."""
     raw = F.concat_ws(" ", "entity", F.when(F.col("entity_id").endswith("3"), F.col("entity")))
-    return entities(spark, sf_dir).select("entity_id", N.clean_name(raw).alias("name"))
+    return entities(spark, sf_dir, "entity").select("entity_id", N.clean_name(raw).alias("name"))
 
 
 @query("usable_names", r"""SELECT p_partkey, p_name, p_size FROM (SELECT p_partkey, p_size, CASE p_size % 5 WHEN 0 THEN 'Chợ' WHEN 1 THEN 'MX' WHEN 2 THEN 'ACB' WHEN 3 THEN 'Khach San Misa' ELSE p_name END AS p_name FROM part)
@@ -86,23 +86,13 @@ def usable_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("speakable_filter", with_views("ent") + r"SELECT entity_id FROM ent WHERE NOT regexp_matches(entity, '[^\P{L}\x{0}-\x{24F}\x{1E00}-\x{1EFF}]') AND trim(entity) <> ''")
 def speakable_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P6."""
-    return entities(spark, sf_dir).filter(N.is_speakable(F.col("entity"))).select("entity_id")
+    return entities(spark, sf_dir, "entity").filter(N.is_speakable(F.col("entity"))).select("entity_id")
 
 
-@query("slug_and_ref_ids", with_views("ent") + r"""
-SELECT entity_id, CASE WHEN s = '' THEN 'unnamed' ELSE s END AS slug, 'manual_' || coalesce(province, '') || '_' || CASE WHEN s = '' THEN 'unnamed' ELSE s END AS ref FROM
-(SELECT entity_id, province, regexp_replace(regexp_replace(replace(strip_accents(lower(nfc_normalize(entity))), 'đ', 'd'), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS s FROM ent
- WHERE NOT regexp_matches(nfc_normalize(entity), '[^\x{0}-\x{7F}ÀÁÂÃÈÉÊÌÍÒÓÔÕÙÚÝàáâãèéêìíòóôõùúýĂăĐđĨĩŨũƠơƯư\x{1EA0}-\x{1EF9}]'))""")
+@query("slug_and_ref_ids")
 def slug_and_ref_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F9, F10, over names in plain Vietnamese letters, which SQL can follow; ``slug_and_ref_ids_all`` has all names."""
-    e = entities(spark, sf_dir)
-    return _slugs(e.filter(~N.nfc(F.col("entity")).rlike("[^\\x00-\\x7FÀÁÂÃÈÉÊÌÍÒÓÔÕÙÚÝàáâãèéêìíòóôõùúýĂăĐđĨĩŨũƠơƯưẠ-ỹ]")))
-
-
-@query("slug_and_ref_ids_all")
-def slug_and_ref_ids_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F9, F10, over all names: look-alike, full-width, invisible and other-script characters too."""
-    return _slugs(entities(spark, sf_dir))
+    return _slugs(entities(spark, sf_dir, "entity", "province"))
 
 
 def _slugs(e: DataFrame) -> DataFrame:
@@ -117,23 +107,11 @@ def alias_spoken_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("row_id", N.alias_spoken_form(F.concat_ws(" - ", "alias", "alias_type")).alias("alias"))
 
 
-@query("prefix_split_and_case", with_views("samp") + r"""
-SELECT id, initcap_head AS prefix, rest, embeds, lowered, leads FROM (
-SELECT id, CASE lower(split_part(street, ' ', 1)) WHEN 'đường' THEN 'Đường' WHEN 'phố' THEN 'Phố' WHEN 'ngõ' THEN 'Ngõ' WHEN 'hẻm' THEN 'Hẻm' WHEN 'ngách' THEN 'Ngách' WHEN 'kiệt' THEN 'Kiệt' ELSE '' END AS initcap_head,
- CASE WHEN lower(split_part(street, ' ', 1)) IN ('đường', 'phố', 'ngõ', 'hẻm', 'ngách', 'kiệt') THEN CASE WHEN strpos(street, ' ') = 0 THEN '' ELSE substr(street, strpos(street, ' ') + 1) END ELSE street END AS rest,
- lower(split_part(street, ' ', 1)) = lower(split_part(coalesce(subcategory, ''), ' ', 1)) AS embeds,
- array_to_string(list_transform(string_split(street, ' '), lambda w: CASE WHEN w IN ('Đường', 'Phố', 'Ngõ', 'Hẻm', 'Ngách', 'Kiệt') THEN lower(w) ELSE w END), ' ') AS lowered,
- coalesce(category, '') = 'address' OR regexp_matches(CASE WHEN lower(split_part(street, ' ', 1)) IN ('đường', 'phố', 'ngõ', 'hẻm', 'ngách', 'kiệt') THEN substr(street, strpos(street, ' ') + 1) ELSE street END, '^[0-9]') AS leads
-FROM samp WHERE street IS NOT NULL AND regexp_matches(street, '^[^\x{0300}-\x{036F}]*$'))""")
+@query("prefix_split_and_case")
 def prefix_split_and_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F19-F22, over streets without combining marks; ``prefix_split_and_case_all`` has all streets."""
-    return _prefixes(samples(spark, sf_dir).filter("street is not null").filter(~F.col("street").rlike("[̀-ͯ]")))
-
-
-@query("prefix_split_and_case_all")
-def prefix_split_and_case_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F19-F22, over all streets in composed form."""
-    return _prefixes(samples(spark, sf_dir).filter("street is not null").withColumn("street", N.nfc(F.col("street"))))
+    s = samples(spark, sf_dir, "street", "subcategory", "category")
+    return _prefixes(s.filter("street is not null").withColumn("street", N.nfc(F.col("street"))))
 
 
 def _prefixes(s: DataFrame) -> DataFrame:
@@ -148,7 +126,7 @@ def _prefixes(s: DataFrame) -> DataFrame:
 def ward_prefix_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P16."""
     kind, core = N.ward_core(F.concat_ws(" ", F.initcap("type"), "name"))
-    return wards(spark, sf_dir).select("ward_id", kind.alias("kind"), core.alias("core")).filter("kind is not null")
+    return wards(spark, sf_dir, "type", "name").select("ward_id", kind.alias("kind"), core.alias("core")).filter("kind is not null")
 
 
 _UNITS_SQL = "['" + "','".join(D.DIGITS) + "']"
@@ -259,10 +237,10 @@ FROM ent JOIN bank ON bank.sentence_type = CASE ent.category WHEN 'street' THEN
 def slot_substitution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F15."""
     kind = F.when(F.col("category") == "street", "nav_command").when(F.col("category") == "landmark", "contextual").otherwise("short_command")
-    e = entities(spark, sf_dir).withColumn("sentence_type", kind)
+    e = entities(spark, sf_dir, "entity", "category").withColumn("sentence_type", kind)
     t = templates(spark).filter("template_id not like 'bad%'")
     text = T.substitute(F.col("text"), opener=F.lit("này"), closer=F.lit("nhé"), entity=F.col("entity"), category_noun=F.lit("chỗ"))
-    return e.join(F.broadcast(t), "sentence_type").select("entity_id", "template_id", text.alias("text"))
+    return e.join(t, "sentence_type").select("entity_id", "template_id", text.alias("text"))
 
 
 @query("template_filter", f"WITH {TEMPLATES_SQL} SELECT template_id FROM bank WHERE register = 'neutral' AND (contains(replace(strip_accents(lower(text)), 'đ', 'd'), 'tim') OR contains(template_id, 'tim'))")
@@ -284,7 +262,7 @@ def rubric_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A24, U3, F26."""
     from quotaloom.functions.words import words
 
-    s = samples(spark, sf_dir).filter("text is not null").select(F.coalesce("register", F.lit("")).alias("register"), F.lower("text").alias("t"), words(F.col("text")).alias("w"))
+    s = samples(spark, sf_dir, "register", "text").filter("text is not null").select(F.coalesce("register", F.lit("")).alias("register"), F.lower("text").alias("t"), words(F.col("text")).alias("w"))
     phrase = F.lit(False)
     for p in RUBRIC_PHRASES:
         phrase = phrase | F.col("t").contains(p)
@@ -303,7 +281,7 @@ def top_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The most frequent first word of each register, counts first."""
     from quotaloom.functions.words import words
 
-    s = samples(spark, sf_dir).filter("text is not null").select(F.coalesce("register", F.lit("")).alias("register"), F.get(words(F.col("text")), F.lit(0)).alias("head")).filter("head is not null")
+    s = samples(spark, sf_dir, "register", "text").filter("text is not null").select(F.coalesce("register", F.lit("")).alias("register"), F.get(words(F.col("text")), F.lit(0)).alias("head")).filter("head is not null")
     c = s.groupBy("register", "head").agg(F.count("*").alias("n"))
     best = c.groupBy("register").agg(F.min(F.struct((-F.col("n")).alias("m"), "head")).alias("_b"), F.sum("n").alias("_t"))
     share = -F.col("_b.m") / F.col("_t")

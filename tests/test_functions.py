@@ -86,7 +86,7 @@ def odd_names_table(tmp_path):
 
 
 def test_slugs_of_all_names(spark, tmp_path):
-    got = {r.entity_id: (r.slug, r.ref) for r in text.slug_and_ref_ids_all(spark, odd_names_table(tmp_path)).collect()}
+    got = {r.entity_id: (r.slug, r.ref) for r in text.slug_and_ref_ids(spark, odd_names_table(tmp_path)).collect()}
     province = {r.entity_id: r.province or "" for r in spark.read.parquet(f"{tmp_path}/generate_small.parquet").collect()}
     for k, name in enumerate(ODD_NAMES):
         plain = unicodedata.normalize("NFKD", name.translate(str.maketrans("đĐ", "dD"))).encode("ascii", "ignore").decode().lower()
@@ -96,7 +96,7 @@ def test_slugs_of_all_names(spark, tmp_path):
 
 
 def test_prefixes_of_all_streets(spark, tmp_path):
-    got = {r.id: tuple(r) for r in text.prefix_split_and_case_all(spark, odd_names_table(tmp_path)).collect()}
+    got = {r.id: tuple(r) for r in text.prefix_split_and_case(spark, odd_names_table(tmp_path)).collect()}
     known = {w.casefold(): w for w in names.STREET_WORDS}
     for k, name in enumerate(ODD_NAMES):
         name, category, kind = unicodedata.normalize("NFC", name), ["address", None, "street"][k % 3], ["ngõ hẹp", None, "đường lớn"][k % 3] or ""
