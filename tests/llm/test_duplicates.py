@@ -178,6 +178,62 @@ def test_ledger_without_times(spark, every):
     assert Counter((r.keep_id, r.copies, r.first_id) for r in ledger.counts().collect()) == Counter((min(g), len(g), min((first[i], i) for i in g)[1]) for g in groups.values())
 
 
+def ledger_batch(spark, rows, buckets):
+    df = spark.createDataFrame(rows, "id string, text string, loaded_at timestamp_ntz")
+    return format_ledger.canonical_keys(df, id_col="id", text_col="text", at="loaded_at", buckets=buckets).drop("batch")
+
+
+def test_ledger_touches_the_buckets_of_a_batch_only(spark, tmp_path):
+    root = str(tmp_path / "ledger")
+    ledger = format_ledger.Ledger(spark, root, 16)
+    ledger.apply(ledger_batch(spark, [(f"a{k}", f"text {k}", T0) for k in range(60)], 16))
+    before = dict(ledger.state["counts"])
+    assert len(before) > 8 and len(set(before.values())) == 1
+    batch = ledger_batch(spark, [("b1", "text 3", T0), ("b2", "TEXT 3!", T0)], 16)
+    touched = {r.bucket for r in batch.collect()}
+    ledger.apply(batch)
+    assert {int(b) for b, g in ledger.state["counts"].items() if g != before[b]} == touched and len(touched) == 1
+    new = next(g for g in ledger.state["counts"].values() if g not in before.values())
+    assert {p.name for p in (tmp_path / "ledger" / "counts" / f"gen={new}").glob("bucket=*")} == {f"bucket={b}" for b in touched}
+    read = {f"{'/'.join(f.split('/')[-3:-1])}" for f in ledger.counts(touched).inputFiles()}
+    assert read and all("bucket=" in f for f in read)
+    plan = ledger.counts(touched)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan
+    again = format_ledger.Ledger(spark, root)  # as in a later session
+    assert again.state == ledger.state and again.buckets == 16
+    assert {(r.keep_id, r.copies) for r in again.counts().collect() if r.copies > 1} == {("a3", 3)}
+
+
+@pytest.mark.parametrize("stop", ["members", "counts"])
+def test_ledger_stopped_between_the_writes(spark, tmp_path, monkeypatch, stop):
+    root = str(tmp_path / "ledger")
+    rows = [(f"a{k}", f"text {k % 7}", T0) for k in range(30)]
+    more = [(f"b{k}", f"TEXT {k % 9}", T0) for k in range(30)]
+    ledger = format_ledger.Ledger(spark, root, 4)
+    ledger.apply(ledger_batch(spark, rows, 4))
+    want = sorted(map(str, ledger.counts().collect()))
+
+    def fail(*_):
+        raise RuntimeError("stopped")
+
+    if stop == "members":
+        monkeypatch.setattr(format_ledger.Ledger, "counts", fail)
+    else:
+        monkeypatch.setattr(format_ledger.Ledger, "_commit", fail)
+    with pytest.raises(RuntimeError):
+        ledger.apply(ledger_batch(spark, more, 4))
+    monkeypatch.undo()
+    ledger = format_ledger.Ledger(spark, root)
+    assert sorted(map(str, ledger.counts().collect())) == want and ledger.members().count() == 30
+    for _ in range(2):  # the replay, and one more
+        ledger.apply(ledger_batch(spark, more, 4))
+        got = {(r.keep_id, r.copies) for r in ledger.counts().collect()}
+        groups = defaultdict(set)
+        for i, t, _ in rows + more:
+            groups[canonical(t)].add(i)
+        assert got == {(min(g), len(g)) for g in groups.values()} and ledger.members().count() == 60
+
+
 def test_ledger_of_nothing(spark):
     from pyspark.sql import functions as F
 
