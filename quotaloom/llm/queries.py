@@ -195,9 +195,12 @@ WHERE value <> nfc_normalize(value) OR plain <> nfc_normalize(value)
   OR regexp_matches(plain, '[{_V}][\\p{{L}}\\p{{M}}\\p{{N}}]*' || '[^{_V}\\P{{L}}]') OR regexp_matches(plain, '[^{_V}\\P{{L}}][\\p{{L}}\\p{{M}}\\p{{N}}]*[{_V}]')"""
 
 
-def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = scripts.folded(_table(spark, sf_dir, "generate_small"), key="id", fields=["entity", "street"], table_name="generate_small")
-    return a.unionByName(scripts.folded(_table(spark, sf_dir, "province_alias"), key="row_id", fields=["alias"], table_name="province_alias"))
+def _folded(spark: SparkSession, sf_dir: str, by_column: bool = False) -> DataFrame:
+    out = []
+    for name, key, fields in (("generate_small", "id", ["entity", "street"]), ("province_alias", "row_id", ["alias"])):
+        df = _table(spark, sf_dir, name)
+        out.append(scripts.folded(df, key=key, fields=fields, table_name=name, dominant=scripts.dominant_scripts(df, fields) if by_column else None))
+    return out[0].unionByName(out[1])
 
 
 @_query("p4_found", _FOLD_SQL)
@@ -207,7 +210,8 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("p4_folded")
 def p4_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _folded(spark, sf_dir)
+    """All values that aren't plain in their consistent form; whole-script look-alikes by the dominant script of their column."""
+    return _folded(spark, sf_dir, by_column=True)
 
 
 # Problem 1: near-duplicate records
