@@ -1,22 +1,22 @@
 """Evaluation passages in training text, by a positional inverted index (problem 8).
 
-The index is partitioned by document: each task inverts its own documents into postings (term, document, position), so
-nothing is shuffled. Only terms of the evaluation items can matter, so only those are stored, and for the search only the
-anchor terms: of every window of ``run`` consecutive item words, the ``ANCHORS`` rarest positions by the terms' counts over the
-whole corpus (one counting pass, one counter per evaluation term).
+One pass over the corpus stores the index: for every evaluation term its postings (document, position), cut into segments by
+the tasks that read the documents and into buckets of terms on disk. Terms of no evaluation item can't be searched for and aren't
+stored. Counts over the whole corpus come from the index.
 
-A search takes the postings of the anchors, shifts each by its place in the item, and intersects them: a document position
-less an item position is a diagonal, and a window can only match on a diagonal on which all its anchors have a posting.
-Those diagonals are then compared word by word, which gives the exact longest run. Every match of ``run`` words has all its
-anchors on its diagonal, so none is lost.
+A search reads the postings of anchor terms only: of every window of ``run`` consecutive item words, the ``ANCHORS`` rarest
+positions. Each posting is shifted by its place in the item, and the lists are intersected: a document position less an item position is a diagonal,
+and a window can only match on a diagonal on which all its anchors have a posting. The documents with such diagonals, and no others, are
+then read again, and the diagonals compared word by word, which gives the exact longest run. Every match of ``run`` words has
+all its anchors on its diagonal, so none is lost.
 
 Proximity has anchors of its own. A diagonal with enough equal words misses at most m of an item's words, those that occur
 nowhere in the corpus always; so of the m + ``HITS`` rarest positions that do occur, ``HITS`` are on it. None of these is lost either.
 Aligned are words on one diagonal: an inserted or left out word ends it, and the parts before and after it count each by itself.
 
 Cases: null and empty texts match nothing; items of fewer than ``run`` words match no phrase; repeated documents and items
-with shared passages come out each. Words are those of ``quotaloom.functions.words``. The evaluation items must fit the driver
-(checked against ``MAX_ITEM_WORDS``); beyond it, search in blocks of items and unite the results.
+with shared passages come out each. Words are those of ``quotaloom.functions.words``. The evaluation items must fit the driver,
+which is checked against ``MAX_ITEM_WORDS`` before they are read; beyond it, search in blocks of items and unite the results.
 """
 
 from __future__ import annotations
@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from quotaloom.functions.words import words
-from quotaloom.workspace import spread_small
+from quotaloom.workspace import cut, new_path, spread_small
 
 ANCHORS, HITS = 3, 2
-MAX_POSTINGS = 4_000_000
+BUCKETS = 16
 MAX_ITEM_WORDS = 20_000_000
 
 
@@ -57,33 +57,45 @@ class _Vocabulary:
         return flat, at[:-1]
 
 
-def corpus_counts(docs: DataFrame, text: str, terms: list[str]) -> np.ndarray:
-    """How often each term occurs in the whole corpus."""
+def positional_index(docs: DataFrame, *, doc_id: str, text: str, terms: list[str], path: str) -> DataFrame:
+    """(bucket, term, n, docs, positions) written to ``path``: for each segment of documents and each term the n places, in parallel
+    lists; ``term`` is its number in ``terms``. A segment is one Arrow batch, so a list never outgrows one."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(terms)
+    kind = to_arrow_type(docs.schema[doc_id].dataType)
+    names = ["bucket", "term", "n", "docs", "positions"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc, n = _Vocabulary(vocabulary.value), np.zeros(len(vocabulary.value), np.int64)
+        voc = _Vocabulary(vocabulary.value)
         for b in batches:
-            flat, _ = voc.numbers(b.column(0))
-            n += np.bincount(flat[flat >= 0], minlength=len(n))
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], names=["term", "n"])
-
-    counts = docs.select(words(F.col(text)).alias("w")).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    out = np.zeros(len(terms), np.int64)
-    for term, n in counts.collect():  # one row per evaluation term
-        out[term] = n
+            flat, begins = voc.numbers(b.column(1))
+            at = np.flatnonzero(flat >= 0)
+            term = flat[at]
+            at = at[np.argsort(term, kind="stable")]
+            term = flat[at]
+            first = np.flatnonzero(np.diff(term, prepend=-1))
+            ends = pa.array(np.append(first, len(at)).astype(np.int32))
+            doc = np.searchsorted(begins, at, "right") - 1
+            own = term[first]
+            cols = [
+                pa.array((own % BUCKETS).astype(np.int32)), pa.array(own.astype(np.int32)), pa.array(np.diff(np.append(first, len(at)))),
+                pa.ListArray.from_arrays(ends, b.column(0).take(pa.array(doc)).cast(kind)), pa.ListArray.from_arrays(ends, pa.array((at - begins[doc]).astype(np.int32))),
+            ]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    schema = f"bucket int, term int, n long, docs array<{docs.schema[doc_id].dataType.simpleString()}>, positions array<int>"
+    segments = docs.select(doc_id, words(F.col(text)).alias("w")).mapInArrow(run, schema)
+    segments.write.partitionBy("bucket").parquet(path)
+    return docs.sparkSession.read.schema(segments.schema).parquet(path)
+
+
+def term_counts(index: DataFrame, terms: int) -> np.ndarray:
+    """How often each term occurs in the whole corpus: one row per evaluation term."""
+    got = index.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(terms, np.int64)
+    out[got.column("term").to_numpy()] = got.column("n").to_numpy()
     return out
 
 
-def positional_index(docs: DataFrame, *, doc_id: str, text: str, terms: list[str] | None = None) -> DataFrame:
-    """(term, doc_id, positions) of the corpus, or of ``terms`` only: the stored form of the index."""
-    w = docs.select(F.col(doc_id).alias("doc_id"), F.posexplode(words(F.col(text))).alias("pos", "term"))
-    if terms is not None:
-        w = w.join(F.broadcast(docs.sparkSession.createDataFrame([(t,) for t in terms], "term string")), "term", "left_semi")
-    return w.groupBy("term", "doc_id").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
-
-
 def anchor_positions(item: list[int], counts: np.ndarray, run: int) -> list[int]:
     """The positions that are among the ``ANCHORS`` rarest of some window of ``run`` words whose words all occur."""
     out: set[int] = set()
@@ -105,38 +117,33 @@ def proximity_positions(item: list[int], counts: np.ndarray, run: int, near: flo
     return sorted(there[: misses + hits]), hits
 
 
-class _Anchors:
-    """Anchors (item, position, term) by term, and how many of an item's must be on a diagonal."""
-
-    def __init__(self, anchors: list[tuple[int, int, int]], hits: list[int], terms: int) -> None:
-        anchors = sorted(anchors, key=lambda a: a[2])
-        self.item, self.pos, term = (np.array([a[j] for a in anchors], np.int64) for j in range(3))
-        self.first, self.last = (np.searchsorted(term, np.arange(terms), side) for side in ("left", "right"))
-        self.hits = np.array(hits, np.int64)
-
-    def weights(self, flat: np.ndarray) -> np.ndarray:
-        """Postings of each word."""
-        return np.where(flat >= 0, (self.last - self.first)[flat], 0)
+def _diagonals(index: DataFrame, anchors: list[tuple[int, int, int]], hits: list[int]) -> DataFrame:
+    """(doc, item, diagonal) on which an item has at least its number of ``hits`` among its anchors (item, position, term)."""
+    spark = index.sparkSession
+    anchors = sorted(anchors, key=lambda a: a[2])
+    item, pos, term = (np.array([a[j] for a in anchors], np.int64) for j in range(3))
+    used = np.unique(term)
+    shared = spark.sparkContext.broadcast((item, pos, term))
+    kind = to_arrow_type(index.schema["docs"].dataType.elementType)
 
-    def keys(self, flat: np.ndarray, longest: int) -> np.ndarray:
-        """item * (words + 2 * longest) + diagonal + longest of the diagonals with enough anchors."""
-        n = self.weights(flat)
-        pos = np.flatnonzero(n)
-        n = n[pos]
-        which = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[flat[pos]], n)
-        width = len(flat) + 2 * longest
-        uniq, hits = np.unique(self.item[which] * width + np.repeat(pos, n) - self.pos[which] + longest, return_counts=True)
-        return uniq[hits >= self.hits[uniq // width]]  # one posting for each anchor position: the intersection's size
-
-
-def _portions(weights: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(first, last + 1) of documents with at most ``MAX_POSTINGS`` postings together, or one document."""
-    total = np.concatenate([[0], np.cumsum(weights)])[[*starts.tolist(), len(weights)]]
-    k = 0
-    while k < len(starts):
-        to = max(k + 1, int(np.searchsorted(total, total[k] + MAX_POSTINGS, "right")) - 1)
-        yield k, to
-        k = to
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        item, pos, term = shared.value
+        for b in batches:
+            for r in range(b.num_rows):
+                lo, hi = np.searchsorted(term, [b.column(0)[r].as_py(), b.column(0)[r].as_py() + 1])
+                docs, at = b.column(1)[r].values, b.column(2)[r].values.to_numpy()
+                for k in range(int(lo), int(hi)):
+                    n = len(at)
+                    cols = [docs, pa.array(np.full(n, item[k], np.int32)), pa.array((at - pos[k]).astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays([cols[0].cast(kind), *cols[1:]], names=["doc", "item", "diagonal"])
+
+    some = index.filter(F.col("bucket").isin(sorted({int(t) % BUCKETS for t in used})))
+    wanted = spark.createDataFrame(pa.table({"term": pa.array(used.astype(np.int32))}), "term int")  # at most one row per evaluation word
+    some = some.join(wanted, "term", "left_semi").select("term", "docs", "positions")
+    kind_ = index.schema["docs"].dataType.elementType.simpleString()
+    places = some.mapInArrow(run, f"doc {kind_}, item int, diagonal int")
+    need = F.element_at(F.array(*[F.lit(h) for h in hits]), F.col("item") + 1) if len(set(hits)) > 1 else F.lit(hits[0] if hits else 1)
+    return places.groupBy("doc", "item", "diagonal").agg(F.count("*").alias("_n")).filter(F.col("_n") >= need).drop("_n")
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", run: int = 12, near: float | None = 0.8) -> DataFrame:
@@ -146,84 +153,48 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
     either run >= ``run`` (an exact phrase) or at least ``run`` aligned words that make up ``near`` of the item (proximity); without
     ``near``, exact phrases only are looked for.
     """
-    rows = items.select(F.col(item_id), words(F.col(item_text))).filter(F.col(item_id).isNotNull())
-    rows = [(i, w) for i, w in rows.collect() if w]
-    if sum(len(w) for _, w in rows) > MAX_ITEM_WORDS:
+    spark = docs.sparkSession
+    wanted = items.select(F.col(item_id).alias("i"), words(F.col(item_text)).alias("w")).filter(F.col("i").isNotNull() & (F.size("w") > 0))
+    if (wanted.agg(F.sum(F.size("w"))).first()[0] or 0) > MAX_ITEM_WORDS:
         raise ValueError("too many evaluation words for one search; search in blocks of items")
+    rows = wanted.collect()
     terms = sorted({x for _, w in rows for x in w})
     number = {t: i for i, t in enumerate(terms)}
-    docs = spread_small(docs.select(doc_id, text))
     coded = [(i, [number[x] for x in w]) for i, w in rows]
-    counts = corpus_counts(docs, text, terms)
-    anchors = [(k, q, w[q]) for k, (_, w) in enumerate(coded) for q in anchor_positions(w, counts, run)]
-    close = [proximity_positions(w, counts, run, near) if near is not None else ([], 1) for _, w in coded]
-    near_anchors = [(k, q, w[q]) for k, (_, w) in enumerate(coded) for q in close[k][0]]
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    index = positional_index(spread_small(docs), doc_id="doc_id", text="text", terms=terms, path=new_path(spark, "index"))
+    counts = term_counts(index, len(terms))
+    phrase = [(k, q, w[q]) for k, (_, w) in enumerate(coded) for q in anchor_positions(w, counts, run)]
+    found = _diagonals(index, phrase, [ANCHORS])
+    if near is not None:
+        close = [proximity_positions(w, counts, run, near) for _, w in coded]
+        found = found.unionByName(_diagonals(index, [(k, q, w[q]) for k, (_, w) in enumerate(coded) for q in close[k][0]], [h for _, h in close])).distinct()
+    per_doc = cut(found.groupBy("doc").agg(F.collect_list("item").alias("items"), F.collect_list("diagonal").alias("diagonals")), "diagonals")
+    shared = spark.sparkContext.broadcast((terms, coded))
     least = near if near is not None else float("inf")
-    shared = docs.sparkSession.sparkContext.broadcast((terms, coded, anchors, near_anchors, [h for _, h in close]))
-    kinds = (docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString())
+    kinds = (docs.schema["doc_id"].dataType.simpleString(), items.schema[item_id].dataType.simpleString())
     item_kind = to_arrow_type(items.schema[item_id].dataType)
-    schema = "doc_id {}, item_id {}, run int, aligned int, doc_pos int, item_pos int".format(*kinds)
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, coded, anchors, near_anchors, hits = shared.value
-        voc = _Vocabulary(terms)
-        ids, texts = [i for i, _ in coded], [np.array(w) for _, w in coded]
-        both = [_Anchors(anchors, [ANCHORS] * len(texts), len(terms)), _Anchors(near_anchors, hits, len(terms))]
-        longest = max((len(w) for w in texts), default=0)
-        table = np.full((len(texts), longest), -2, np.int64)
-        for k, w in enumerate(texts):
-            table[k, : len(w)] = w
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, coded = shared.value
+        voc, ids, texts = _Vocabulary(terms), [i for i, _ in coded], [np.array(w) for _, w in coded]
         for b in batches:
-            words_of_batch, begins = voc.numbers(b.column(1))
-            out = []
-            if not len(terms):
-                continue
-            for first, to in _portions(sum(x.weights(words_of_batch) for x in both), begins):
-                end = begins[to] if to < len(begins) else len(words_of_batch)
-                flat, starts = words_of_batch[begins[first] : end], begins[first:to] - begins[first]
-                item, d = np.divmod(np.union1d(*[x.keys(flat, longest) for x in both]), len(flat) + 2 * longest)
-                for k in _promising(flat, table, item, d - longest, run, least):
-                    w, at = texts[item[k]], int(d[k]) - longest
-                    lo, hi = max(0, -at), min(len(w), len(flat) - at)
-                    found = _stretches(flat[at + lo : at + hi] == w[lo:hi], lo, at, int(item[k]), starts, run, least * len(w))
-                    out += [(o[0] + first, *o[1:]) for o in found]
+            flat, begins = voc.numbers(b.column(1))
+            ends, out = np.append(begins[1:], len(flat)) - 1, []
+            for r in range(b.num_rows):
+                own = flat[begins[r] : ends[r]]
+                for k, d in zip(b.column(2)[r].values.to_pylist(), b.column(3)[r].values.to_pylist()):
+                    w = texts[k]
+                    lo, hi = max(0, -d), min(len(w), len(own) - d)
+                    hit = np.flatnonzero(own[d + lo : d + hi] == w[lo:hi])
+                    if len(hit) >= run:
+                        best = max(np.split(hit, np.flatnonzero(np.diff(hit) != 1) + 1), key=len)
+                        if len(best) >= run or len(hit) >= least * len(w):
+                            out.append((r, k, len(best), len(hit), int(best[0]) + lo + d, int(best[0]) + lo))
             if out:
                 doc = b.column(0).take(pa.array([o[0] for o in out]))
                 cols = [doc, pa.array([ids[o[1]] for o in out], item_kind)] + [pa.array([o[j] for o in out], pa.int32()) for j in range(2, 6)]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "item_id", "run", "aligned", "doc_pos", "item_pos"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), words(F.col(text)).alias("w")).mapInArrow(search, schema)
-
-
-def _promising(flat: np.ndarray, table: np.ndarray, item: np.ndarray, d: np.ndarray, run: int, near: float) -> list[int]:
-    """The diagonals with a long run or enough equal words, all compared at once in blocks of bounded size."""
-    out, width = [], table.shape[1]
-    block = max(1, 4_000_000 // max(1, width))
-    for at in range(0, len(item), block):
-        w = table[item[at : at + block]]
-        place = d[at : at + block, None] + np.arange(width)
-        equal = flat[np.clip(place, 0, len(flat) - 1)] == w
-        equal &= (place >= 0) & (place < len(flat))
-        now, best = np.zeros(len(w), np.int64), np.zeros(len(w), np.int64)
-        for q in range(width):
-            now = (now + 1) * equal[:, q]
-            np.maximum(best, now, out=best)
-        enough = np.maximum(run, near * (w >= 0).sum(1))
-        out += (np.flatnonzero((best >= run) | (equal.sum(1) >= enough)) + at).tolist()
-    return out
-
-
-def _stretches(equal: np.ndarray, lo: int, d: int, item: int, starts: np.ndarray, run: int, near: float) -> list[tuple]:
-    """The matches on one diagonal, by document: (document, item, longest run, equal words, its place in document and item)."""
-    hit = np.flatnonzero(equal)
-    doc = np.searchsorted(starts, hit + lo + d, "right") - 1
-    out = []
-    for k in np.unique(doc).tolist():
-        h = hit[doc == k]
-        breaks = np.flatnonzero(np.diff(h) != 1) + 1
-        runs = np.split(h, breaks)
-        best = max(runs, key=len)
-        if len(best) >= run or len(h) >= max(run, near):
-            q = int(best[0]) + lo
-            out.append((k, item, len(best), len(h), q + d - int(starts[k]), q))
-    return out
+    suspects = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("doc"))).select("doc_id", words(F.col("text")).alias("w"), "items", "diagonals")
+    return suspects.mapInArrow(verify, "doc_id {}, item_id {}, run int, aligned int, doc_pos int, item_pos int".format(*kinds))

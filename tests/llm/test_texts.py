@@ -210,14 +210,24 @@ def test_leaks_by_brute_force(spark, run):
     assert leaks.find_leaks(d.limit(0), e).count() == 0 and leaks.find_leaks(d, e.limit(0)).count() == 0
 
 
-def test_proximity_and_stored_index(spark):
+def test_proximity_and_stored_index(spark, tmp_path):
     item = " ".join(f"a{i}" for i in range(20))
     near = item.replace("a10", "zz")
     d = spark.createDataFrame([("x", near), ("y", "a1 a2 a3")], "doc_id string, text string")
     got = leaks.find_leaks(d, spark.createDataFrame([(1, item)], "item_id long, text string"), run=12).collect()
-    assert [(r.doc_id, r.run, r.aligned) for r in got] == [("x", 10, 19)] or not got
-    index = {(r.term, r.doc_id): r.positions for r in leaks.positional_index(d, doc_id="doc_id", text="text", terms=["a1", "a3"]).collect()}
-    assert index == {("a1", "x"): [1], ("a3", "x"): [3], ("a1", "y"): [0], ("a3", "y"): [2]}
+    assert [(r.doc_id, r.run, r.aligned) for r in got] == [("x", 10, 19)]
+    index = leaks.positional_index(d, doc_id="doc_id", text="text", terms=["a1", "a3", "none"], path=str(tmp_path / "index"))
+    places = sorted((r.term, doc, pos) for r in index.collect() for doc, pos in zip(r.docs, r.positions, strict=True))
+    assert places == [(0, "x", 1), (0, "y", 0), (1, "x", 3), (1, "y", 2)]
+    assert {p.name for p in (tmp_path / "index").glob("bucket=*")} == {"bucket=0", "bucket=1"}
+    assert leaks.term_counts(index, 3).tolist() == [2, 2, 0]
+
+
+def test_too_many_items_are_refused_before_they_are_read(spark, monkeypatch):
+    monkeypatch.setattr(leaks, "MAX_ITEM_WORDS", 3)
+    d = spark.createDataFrame([("x", "a b c d")], "doc_id string, text string")
+    with pytest.raises(ValueError):
+        leaks.find_leaks(d, spark.createDataFrame([(1, "a b"), (2, "c d")], "item_id long, text string"))
 
 
 def test_proximity_by_brute_force(spark):
