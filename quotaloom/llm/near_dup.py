@@ -1,29 +1,36 @@
-"""Near-duplicate records: an exact Jaccard join in the metric space of shingle sets (problem 1).
+"""Near-duplicate records: an exact Jaccard join of shingle sets by recursive regions and windows (problem 1).
 
 Records of one partition key (a template) are sets of ``width`` adjacent words; wanted are all pairs with Jaccard similarity of at
 least t. Sets that are equal form a class, and only classes are joined; copies come back at the end.
 
-Pivots and regions. The pivots are the singletons {g}. Under the weighted Jaccard distance 1 - w(A & B) / w(A | B), with weights
-that fall steeply with a shingle's frequency, the nearest pivot of a set is its rarest shingle: the Voronoi region of {g} holds
-the sets whose rarest shingle is g. Pivots that are records would not do here: two records of a template are about 0.93 apart, so
-the window of a record (its distance to its own pivot plus 0.6) reaches every region.
+Regions. A region belongs to a shingle g, as the region of its singleton {g}. Under the weighted Jaccard distance, with weights that
+fall steeply with a shingle's frequency, the singleton nearest to a set is that of its rarest shingle: the cell of {g} holds the sets
+whose rarest shingle is g. Records as pivots were tried first and can't prune at t = 0.7: in the largest template of check_l (55,379 sets)
+the median distance to the nearest of 16, 128 or 1,024 record pivots is 0.88, 0.83 and 0.80, so a window (that distance plus 0.6)
+reaches 16, 128 and 1,021 regions of them: each set would be copied into all.
 
-Windows. All sets in the region of {g} lie within L(g), the shingles not rarer than g. By the triangle inequality a set x is
-at least |x - L(g)| shingles of x away from all of them, and a partner may lack at most n - ceil(t n) of x's n shingles. So x is
-replicated into the regions of its first n - ceil(t n) + 1 shingles in order of rarity, and into no other. Two partners
+Windows. All sets in the region of {g} lie within L(g), the shingles not rarer than g. By the triangle inequality of set difference a
+set x is at least |x - L(g)| shingles away from all of them, and a partner may lack at most n - ceil(t n) of x's n shingles. So x
+is replicated into the regions of its first n - ceil(t n) + 1 shingles in order of rarity, and into no other. Two partners
 both reach the region of their rarest common shingle, at the latest.
 
 Recursion. A region with more than ``cap`` sets is cut again: its sets are distributed over the regions of the next common
 shingle, and the shingles skipped so far stay charged against the window. Regions are thus paths of common shingles. A set that
 could end on a path (the path has at least t n shingles) is also kept on the path itself, so partners without a further
-common shingle still meet. Within a final region, pairs are compared by size and by a 64-bit sketch whose number of differing
+common shingle still meet. Regions are cut as long as that lessens the pairs to compare by a tenth at least; what is left of more
+than ``BLOCK`` sets, a crowd of near-equal ones, is joined block by block, so no task ever holds such a region.
+
+Within a final region, pairs are compared by size and by a 64-bit sketch whose number of differing
 bits never exceeds the number of differing shingles (again the triangle inequality, after a contraction); what remains is checked
 exactly on the words.
 
 Size. The order of rarity comes from one table of ``BUCKETS`` counters over the whole input; it decides the cost only, never
-the result. Region sizes are exact counts. Regions above the cap reach the tasks as a bitmap of hashed paths; a collision
-makes a small region be cut too, alike for all its sets. Nothing grows with the data on the driver but that bitmap, which is
-limited to ``MAX_BITS``.
+the result. Region sizes are exact counts. Regions above the cap reach the tasks as a bitmap of hashed paths, put together in the
+cluster word by word; a collision makes a small region be cut too, alike for all its sets. Nothing grows with the data on the driver
+but that bitmap, which is limited to ``MAX_BITS``. A class is a 64-bit hash of its set; a second one tells sets apart that share it.
+
+Results. ``components`` has one row per record, whatever the number of copies: the form for large data. ``record_pairs`` gives all
+pairs of records, as problem 1's found query asks; the copies of large classes are paired block by block.
 
 Cases: null texts, keys or ids and texts of fewer than ``width`` words are left out. Repeated rows of an id count once. Empty tables
 give no rows.
@@ -44,7 +51,9 @@ from quotaloom.operators.quality import keep_per_group
 from quotaloom.workspace import cut, drop, new_path
 
 BUCKETS = 1 << 18
-MAX_BITS = 1 << 28
+MAX_BITS = 1 << 26
+BLOCK = 20_000
+COPIES = 1_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -145,16 +154,24 @@ def _longs(x: np.ndarray) -> pa.Array:
 
 
 def _classes(rows: DataFrame, width: int) -> DataFrame:
-    """Adds ``cls``, the class of each row's set: a hash of key and shingles, 0 for texts that are too short."""
+    """Adds ``cls`` and ``twin``, two hashes of key and shingles of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = Sets(b.column(3), width)
             cls = mix(sets.sums(mix(sets.gram + _A)) + mix(b.column(1).to_numpy().view(np.uint64) + sets.n.view(np.uint64)))
+            twin = mix(sets.sums(mix(mix(sets.gram) * _C + _B)) ^ mix(b.column(1).to_numpy().view(np.uint64) + _C))
             keep = pa.array(sets.n > 0)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), _longs(cls)], names=["id", "part", "text", "cls"]).filter(keep)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), _longs(cls), _longs(twin)], names=["id", "part", "text", "cls", "twin"]).filter(keep)
+
+    return rows.select("id", "part", "text", _hashes(F.col("text")).alias("h")).mapInArrow(run, "id string, part long, text string, cls long, twin long")
 
-    return rows.select("id", "part", "text", _hashes(F.col("text")).alias("h")).mapInArrow(run, "id string, part long, text string, cls long")
+
+def _told_apart(classed: DataFrame) -> DataFrame:
+    """The classes, where different sets share one hash numbered by the other; such classes are next to none."""
+    shared = classed.groupBy(F.col("cls").alias("_cls")).agg(F.min("twin").alias("_low"), F.max("twin").alias("_high")).filter("_low <> _high").select("_cls", "_low")
+    both = classed.join(shared, F.col("cls") == F.col("_cls"), "left")
+    return both.withColumn("cls", F.when(F.col("_low").isNull() | (F.col("twin") == F.col("_low")), F.col("cls")).otherwise(F.xxhash64("cls", "twin"))).drop("_cls", "_low", "twin")
 
 
 def _frequencies(classes: DataFrame, width: int) -> np.ndarray:
@@ -173,8 +190,10 @@ def _frequencies(classes: DataFrame, width: int) -> np.ndarray:
     return out
 
 
-def _members(classes: DataFrame, width: int, t: tuple[int, int], shared, depth: int | None) -> DataFrame:
-    """Memberships in final regions (region, cls, n, sketch), or the number of memberships of each region of one depth."""
+def _members(classes: DataFrame, width: int, t: tuple[int, int], shared, depth: int | None, counted: bool = False) -> DataFrame:
+    """Memberships in final regions (region, cls, n, sketch), or with ``depth`` or ``counted`` the number of memberships of each
+    region of one depth, or of each final one."""
+    counted = counted or depth is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, heavy = shared.value
@@ -183,7 +202,7 @@ def _members(classes: DataFrame, width: int, t: tuple[int, int], shared, depth:
                 part = b.slice(at, 2000)
                 sets = Sets(part.column(2), width, counts)
                 owner, path = paths(sets, part.column(1).to_numpy(), t, heavy, depth)
-                if depth is not None:
+                if counted:
                     region, n = np.unique(path, return_counts=True)
                     yield pa.RecordBatch.from_arrays([_longs(region), pa.array(n)], names=["region", "n"])
                 else:
@@ -191,20 +210,51 @@ def _members(classes: DataFrame, width: int, t: tuple[int, int], shared, depth:
                     yield pa.RecordBatch.from_arrays(cols, names=["region", "cls", "n", "sketch"])
 
     rows = classes.select("cls", "part", _hashes(F.col("text")).alias("h"))
-    return rows.mapInArrow(run, "region long, n long" if depth is not None else "region long, cls long, n int, sketch long")
+    got = rows.mapInArrow(run, "region long, n long" if counted else "region long, cls long, n int, sketch long")
+    return got.groupBy("region").agg(F.sum("n").alias("n")) if counted else got
+
 
+def _bitmap(regions: DataFrame, cap: int) -> tuple[np.ndarray | None, float]:
+    """(the regions with more than ``cap`` memberships, hashed into 16 bits each, None if there is none; pairs in them).
 
-def _bitmap(regions: DataFrame, cap: int) -> np.ndarray | None:
-    """The regions with more than ``cap`` memberships, hashed into 16 bits each; None if there is none."""
-    big = cut(regions.groupBy("region").agg(F.sum("n").alias("n")).filter(F.col("n") > cap).select("region"), "regions")
-    n = big.count()
+    The bits are joined to words of 64 before they reach the driver.
+    """
+    big = cut(regions.filter(F.col("n") > cap), "regions")
+    n, pairs = big.agg(F.count("*"), F.coalesce(F.sum(F.col("n").cast("double") * F.col("n")), F.lit(0.0))).first()
     if not n:
-        return None
+        return None, 0.0
     bits = min(MAX_BITS, 1 << max(10, math.ceil(math.log2(16 * n))))
-    out = np.zeros(bits, bool)
-    for batch in big.select((F.col("region").bitwiseAND(F.lit(bits - 1))).cast("int").alias("b")).distinct().toArrow().to_batches():
-        out[batch.column(0).to_numpy()] = True
-    return np.packbits(out, bitorder="little")
+    slot = F.col("region").bitwiseAND(F.lit(bits - 1))
+    word = big.select(F.shiftrightunsigned(slot, 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(region & 63 as int))").alias("b"))
+    got = word.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[got.column("w").to_numpy()] = got.column("b").to_numpy()
+    return out.view(np.uint8), pairs
+
+
+def _candidates(leaf: DataFrame, sizes: DataFrame, t: tuple[int, int]) -> DataFrame:
+    """(cls_a, cls_b), cls_a < cls_b, of the members of a region that sizes and sketches allow.
+
+    Members of a region of more than ``BLOCK`` are cut into blocks, and each pair of blocks is a region of its own.
+    """
+    p, q = t
+    large = cut(sizes.filter(F.col("n") > BLOCK).select(F.col("region").alias("_large"), F.ceil(F.col("n") / BLOCK).cast("int").alias("k")), "large")
+    sides = ["region"]
+    if not large.isEmpty():
+        k = F.coalesce("k", F.lit(1))
+        leaf = leaf.join(large, F.col("region") == F.col("_large"), "left").withColumn("block", F.pmod(F.xxhash64("cls"), k).cast("int"))
+        leaf = leaf.withColumn("other", F.explode(F.sequence(F.lit(0), k - 1))).drop("k", "_large")
+        leaf = leaf.withColumns({"x": F.least("block", "other"), "y": F.greatest("block", "other")})
+        sides = ["region", "x", "y"]
+    keep = ["cls", "n", "sketch", *(["block"] if len(sides) > 1 else [])]
+    a, b = (leaf.select(*sides, *[F.col(c).alias(f"{c}_{s}") for c in keep]) for s in "ab")
+    both = F.col("n_a") + F.col("n_b")
+    # |A & B| >= p/(p+q) (|A| + |B|), so the difference is at most:
+    differ = both - 2 * F.ceil(both * p / F.lit(p + q) - 1e-9)
+    near = (F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= differ) & (F.least("n_a", "n_b") * q >= F.greatest("n_a", "n_b") * p)
+    if len(sides) > 1:  # members of one block meet in their own pair of blocks only
+        near = near & ((F.col("x") == F.col("y")) | (F.col("block_a") != F.col("block_b")))
+    return a.join(b, sides).filter((F.col("cls_a") < F.col("cls_b")) & near).select("cls_a", "cls_b").distinct()
 
 
 def _shingle_words(text: Column, width: int) -> Column:
@@ -213,35 +263,29 @@ def _shingle_words(text: Column, width: int) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - (width - 1)), lambda i: F.array_join(F.slice(w, i, width), " ")))
 
 
-def near_duplicates(df: DataFrame, *, id_col: str, text_col: str, part_col: str, width: int, threshold: tuple[int, int], cap: int = 200, depth: int = 4) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(df: DataFrame, *, id_col: str, text_col: str, part_col: str, width: int, threshold: tuple[int, int], cap: int = 200) -> tuple[DataFrame, DataFrame]:
     """(pairs, members): pairs (cls_a, cls_b) of different classes with Jaccard similarity >= threshold, each once, and
-    members (id, cls). ``threshold`` is a fraction (7, 10); ``depth`` bounds the recursion, not the result: regions that are
-    still above the cap are joined whole, and adaptive execution splits them."""
+    members (id, cls). ``threshold`` is a fraction (7, 10)."""
     spark = df.sparkSession
     rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(part_col).cast("string").alias("_p"), F.array_join(words(F.col(text_col)), " ").alias("text"))
     long_enough = (F.col("text") != "") & (F.size(F.split("text", " ")) >= width)
     rows = rows.filter(F.col("id").isNotNull() & F.col("_p").isNotNull() & long_enough)
-    classed = cut(_classes(rows.select("id", F.xxhash64("_p").alias("part"), "text"), width), "classed")
+    classed = _told_apart(cut(_classes(rows.select("id", F.xxhash64("_p").alias("part"), "text"), width), "classed"))
     members = cut(classed.groupBy("id").agg(F.min("cls").alias("cls")), "members")
     classes = cut(classed.groupBy("cls", "part").agg(F.min("text").alias("text")), "classes")
-    counts, heavy = _frequencies(classes, width), []
-    while len(heavy) < depth - 1:
+    counts, heavy, before = _frequencies(classes, width), [], float("inf")
+    while True:
         shared = spark.sparkContext.broadcast((counts, heavy))
-        bitmap = _bitmap(_members(classes, width, threshold, shared, len(heavy) + 1), cap)
+        bitmap, pairs = _bitmap(_members(classes, width, threshold, shared, len(heavy) + 1), cap)
         shared.unpersist()
-        if bitmap is None:
+        if bitmap is None or pairs > 0.9 * before:
             break
         heavy.append(bitmap)
+        before = pairs
     shared = spark.sparkContext.broadcast((counts, heavy))
-    leaf = _members(classes, width, threshold, shared, None)
-    a, b = (leaf.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("cls", "n", "sketch")]) for s in "ab")
+    sizes = _members(classes, width, threshold, shared, None, counted=True)
+    candidates = cut(_candidates(_members(classes, width, threshold, shared, None), sizes, threshold), "candidates")
     p, q = threshold
-    both = F.col("n_a") + F.col("n_b")
-    # |A & B| >= p/(p+q) (|A| + |B|), so the difference is at most:
-    differ = both - 2 * F.ceil(both * p / F.lit(p + q) - 1e-9)
-    near = (F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= differ) & (F.least("n_a", "n_b") * q >= F.greatest("n_a", "n_b") * p)
-    candidates = a.join(b, "region").filter((F.col("cls_a") < F.col("cls_b")) & near).select("cls_a", "cls_b").distinct()
-    candidates = cut(candidates, "candidates")
     texts = classes.select("cls", "text")
     pairs = candidates.join(texts.select(F.col("cls").alias("cls_a"), F.col("text").alias("text_a")), "cls_a")
     pairs = pairs.join(texts.select(F.col("cls").alias("cls_b"), F.col("text").alias("text_b")), "cls_b")
@@ -253,13 +297,20 @@ def near_duplicates(df: DataFrame, *, id_col: str, text_col: str, part_col: str,
 
 
 def record_pairs(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """(id_a, id_b), id_a < id_b: all pairs of records whose classes are equal or paired."""
+    """(id_a, id_b), id_a < id_b: all pairs of records whose classes are equal or paired.
+
+    The records of a class of more than ``COPIES`` are cut into blocks; each record of its partner is joined with one block at a time,
+    so the pairs of a large class are spread over as many tasks as it has blocks. ``components`` gives the same links without pairs.
+    """
     pairs = cut(pairs, "pairs")
-    several = members.groupBy("cls").count().filter("count > 1")
+    several = cut(members.groupBy("cls").agg(F.count("*").alias("n")).filter("n > 1"), "several")
     links = pairs.unionByName(several.select(F.col("cls").alias("cls_a"), F.col("cls").alias("cls_b")))
+    blocks = several.filter(F.col("n") > COPIES).select(F.col("cls").alias("_c"), F.ceil(F.col("n") / COPIES).cast("int").alias("_k"))
+    two = members.join(blocks, F.col("cls") == F.col("_c"), "left")
+    two = two.select(F.col("cls").alias("cls_b"), F.pmod(F.xxhash64("id"), F.coalesce("_k", F.lit(1))).cast("int").alias("block"), F.col("id").alias("y"))
+    links = links.join(blocks, F.col("cls_b") == F.col("_c"), "left").select("cls_a", "cls_b", F.explode(F.sequence(F.lit(0), F.coalesce("_k", F.lit(1)) - 1)).alias("block"))
     one = members.select(F.col("cls").alias("cls_a"), F.col("id").alias("x"))
-    two = members.select(F.col("cls").alias("cls_b"), F.col("id").alias("y"))
-    out = links.join(one, "cls_a").join(two, "cls_b").filter((F.col("cls_a") != F.col("cls_b")) | (F.col("x") < F.col("y")))
+    out = links.join(one, "cls_a").join(two, ["cls_b", "block"]).filter((F.col("cls_a") != F.col("cls_b")) | (F.col("x") < F.col("y")))
     return out.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 

@@ -45,11 +45,13 @@ def near_rows(seed=1, n=160):
     return rows
 
 
-@pytest.mark.parametrize(("cap", "depth"), [(200, 4), (3, 4), (1, 2), (2, 6)])
-def test_near_duplicates_are_exact(spark, cap, depth):
+@pytest.mark.parametrize(("cap", "block", "copies"), [(200, 20_000, 1000), (3, 20_000, 7), (1, 4, 1000), (2, 2, 20)])
+def test_near_duplicates_are_exact(spark, monkeypatch, cap, block, copies):
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    monkeypatch.setattr(near_dup, "COPIES", copies)
     rows = near_rows()
     df = spark.createDataFrame([(a, b, c, 1, "q") for a, b, c in rows], "id string, text string, tpl string, cls int, region string")
-    pairs = near_dup.record_pairs(*near_dup.near_duplicates(df, id_col="id", text_col="text", part_col="tpl", width=2, threshold=(7, 10), cap=cap, depth=depth))
+    pairs = near_dup.record_pairs(*near_dup.near_duplicates(df, id_col="id", text_col="text", part_col="tpl", width=2, threshold=(7, 10), cap=cap))
     got = [(r.id_a, r.id_b) for r in pairs.collect()]
     want = set()
     once = sorted({r for r in rows if r[0] and r[1] and r[2]})
@@ -71,6 +73,12 @@ def test_near_duplicates_of_other_widths(spark, width):
     assert got == {(a, b) for a, s in sets for b, v in sets if a < b and s and v and 5 * len(s & v) >= 4 * len(s | v)}
 
 
+def test_sets_that_share_a_hash_are_told_apart(spark):
+    df = spark.createDataFrame([("a", 1, "x", 5, 7), ("b", 1, "x", 5, 7), ("c", 1, "y", 5, 8), ("d", 1, "z", 6, 9)], "id string, part long, text string, cls long, twin long")
+    got = {r.id: r.cls for r in near_dup._told_apart(df).collect()}
+    assert got["a"] == got["b"] == 5 and got["d"] == 6 and got["c"] not in (5, 6)
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], "id string, text string, tpl string")
     pairs, members = near_dup.near_duplicates(df, id_col="id", text_col="text", part_col="tpl", width=2, threshold=(7, 10))
