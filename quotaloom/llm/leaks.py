@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -36,6 +37,8 @@ from quotaloom.workspace import cut, new_path, spread_small
 
 ANCHORS, HITS = 3, 2
 BUCKETS = 16
+MAX_POSTINGS = 4_000_000
+CHECKED = 50_000
 MAX_ITEM_WORDS = 20_000_000
 
 
@@ -58,15 +61,15 @@ class _Vocabulary:
 
 
 def positional_index(docs: DataFrame, *, doc_id: str, text: str, terms: list[str], path: str) -> DataFrame:
-    """(bucket, term, n, docs, positions) written to ``path``: for each segment of documents and each term the n places, in parallel
-    lists; ``term`` is its number in ``terms``. A segment is one Arrow batch, so a list never outgrows one."""
+    """(bucket, segment, term, n, docs, positions) written to ``path``: for each segment of documents and each term the n places, in
+    parallel lists; ``term`` is its number in ``terms``. A segment is one Arrow batch of whole documents, so a list never outgrows one."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(terms)
     kind = to_arrow_type(docs.schema[doc_id].dataType)
-    names = ["bucket", "term", "n", "docs", "positions"]
+    names = ["bucket", "segment", "term", "n", "docs", "positions"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc = _Vocabulary(vocabulary.value)
-        for b in batches:
+        voc, task = _Vocabulary(vocabulary.value), TaskContext.get().partitionId()
+        for k, b in enumerate(batches):
             flat, begins = voc.numbers(b.column(1))
             at = np.flatnonzero(flat >= 0)
             term = flat[at]
@@ -77,12 +80,12 @@ def positional_index(docs: DataFrame, *, doc_id: str, text: str, terms: list[str
             doc = np.searchsorted(begins, at, "right") - 1
             own = term[first]
             cols = [
-                pa.array((own % BUCKETS).astype(np.int32)), pa.array(own.astype(np.int32)), pa.array(np.diff(np.append(first, len(at)))),
+                pa.array((own % BUCKETS).astype(np.int32)), pa.array(np.full(len(own), task << 32 | k)), pa.array(own.astype(np.int32)), pa.array(np.diff(np.append(first, len(at)))),
                 pa.ListArray.from_arrays(ends, b.column(0).take(pa.array(doc)).cast(kind)), pa.ListArray.from_arrays(ends, pa.array((at - begins[doc]).astype(np.int32))),
             ]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    schema = f"bucket int, term int, n long, docs array<{docs.schema[doc_id].dataType.simpleString()}>, positions array<int>"
+    schema = f"bucket int, segment long, term int, n long, docs array<{docs.schema[doc_id].dataType.simpleString()}>, positions array<int>"
     segments = docs.select(doc_id, words(F.col(text)).alias("w")).mapInArrow(run, schema)
     segments.write.partitionBy("bucket").parquet(path)
     return docs.sparkSession.read.schema(segments.schema).parquet(path)
@@ -117,33 +120,93 @@ def proximity_positions(item: list[int], counts: np.ndarray, run: int, near: flo
     return sorted(there[: misses + hits]), hits
 
 
-def _diagonals(index: DataFrame, anchors: list[tuple[int, int, int]], hits: list[int]) -> DataFrame:
-    """(doc, item, diagonal) on which an item has at least its number of ``hits`` among its anchors (item, position, term)."""
+class _Anchors:
+    """Anchors (item, position, term) in the order of their terms, and how many of an item's must be on a diagonal."""
+
+    def __init__(self, anchors: list[tuple[int, int, int]], hits: list[int]) -> None:
+        anchors = sorted(anchors, key=lambda a: a[2])
+        self.item, self.pos, self.term = (np.array([a[j] for a in anchors], np.int64) for j in range(3))
+        self.hits = np.array(hits, np.int64)
+
+    def keys(self, term: np.ndarray, doc: np.ndarray, pos: np.ndarray, width: int, longest: int) -> np.ndarray:
+        """(item * documents + doc) * width + diagonal + longest of the postings' diagonals with enough anchors on them."""
+        first, last = (self.term.searchsorted(term, side) for side in ("left", "right"))
+        n = last - first
+        which = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - first, n)
+        docs = int(doc.max(initial=0)) + 1
+        key = (self.item[which] * docs + np.repeat(doc, n)) * width + np.repeat(pos, n) - self.pos[which] + longest
+        uniq, hits = np.unique(key, return_counts=True)  # one posting for each anchor position: the intersection's size
+        return uniq[hits >= self.hits[uniq // (width * docs)]]
+
+
+def _diagonals(index: DataFrame, anchors: list[_Anchors], longest: int) -> DataFrame:
+    """(doc, item, diagonal) on which an item has enough anchors of one kind. A segment holds whole documents, so its lists are
+    intersected on their own; only the postings of anchor terms are read and brought together by segment."""
     spark = index.sparkSession
-    anchors = sorted(anchors, key=lambda a: a[2])
-    item, pos, term = (np.array([a[j] for a in anchors], np.int64) for j in range(3))
-    used = np.unique(term)
-    shared = spark.sparkContext.broadcast((item, pos, term))
+    used = np.unique(np.concatenate([a.term for a in anchors]))
+    shared = spark.sparkContext.broadcast(anchors)
     kind = to_arrow_type(index.schema["docs"].dataType.elementType)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item, pos, term = shared.value
-        for b in batches:
-            for r in range(b.num_rows):
-                lo, hi = np.searchsorted(term, [b.column(0)[r].as_py(), b.column(0)[r].as_py() + 1])
-                docs, at = b.column(1)[r].values, b.column(2)[r].values.to_numpy()
-                for k in range(int(lo), int(hi)):
-                    n = len(at)
-                    cols = [docs, pa.array(np.full(n, item[k], np.int32)), pa.array((at - pos[k]).astype(np.int32))]
-                    yield pa.RecordBatch.from_arrays([cols[0].cast(kind), *cols[1:]], names=["doc", "item", "diagonal"])
+    def run(segment: pa.Table) -> pa.Table:
+        lists = segment.column("docs").combine_chunks()
+        names = lists.flatten().dictionary_encode()
+        doc, pos = names.indices.to_numpy().astype(np.int64), segment.column("positions").combine_chunks().flatten().to_numpy().astype(np.int64)
+        term = np.repeat(segment.column("term").to_numpy().astype(np.int64), pc.list_value_length(lists).to_numpy())
+        order = np.argsort(doc, kind="stable")
+        doc, pos, term = doc[order], pos[order], term[order]
+        width = int(pos.max(initial=0)) + 2 * longest + 1
+        load = np.cumsum(sum(a.term.searchsorted(term, "right") - a.term.searchsorted(term) for a in shared.value))
+        docs, cols, at = int(doc.max(initial=0)) + 1, [], 0
+        while at < len(doc):  # whole documents with at most MAX_POSTINGS shifted postings, or one document
+            to = int(load.searchsorted((load[at - 1] if at else 0) + MAX_POSTINGS, "right"))
+            to = int(doc.searchsorted(doc[to])) if to < len(doc) else len(doc)
+            to = to if to > at else int(doc.searchsorted(doc[at], "right"))
+            part = slice(at, to)
+            base = int(doc[at])
+            own = int(doc[to - 1]) - base + 1
+            for a in shared.value:
+                if len(a.item):
+                    key = a.keys(term[part], doc[part] - base, pos[part], width, longest)
+                    rest, diagonal = np.divmod(key, width)
+                    item, d = np.divmod(rest, own)
+                    cols.append((d + base, item, diagonal - longest))
+            at = to
+        d, item, diagonal = (np.concatenate([c[j] for c in cols]) if cols else np.zeros(0, np.int64) for j in range(3))
+        arrays = [names.dictionary.take(pa.array(d)).cast(kind), pa.array(item.astype(np.int32)), pa.array(diagonal.astype(np.int32))]
+        return pa.Table.from_arrays(arrays, names=["doc", "item", "diagonal"])
 
     some = index.filter(F.col("bucket").isin(sorted({int(t) % BUCKETS for t in used})))
     wanted = spark.createDataFrame(pa.table({"term": pa.array(used.astype(np.int32))}), "term int")  # at most one row per evaluation word
-    some = some.join(wanted, "term", "left_semi").select("term", "docs", "positions")
-    kind_ = index.schema["docs"].dataType.elementType.simpleString()
-    places = some.mapInArrow(run, f"doc {kind_}, item int, diagonal int")
-    need = F.element_at(F.array(*[F.lit(h) for h in hits]), F.col("item") + 1) if len(set(hits)) > 1 else F.lit(hits[0] if hits else 1)
-    return places.groupBy("doc", "item", "diagonal").agg(F.count("*").alias("_n")).filter(F.col("_n") >= need).drop("_n")
+    some = some.join(wanted, "term", "left_semi").select("segment", "term", "docs", "positions")
+    found = some.groupBy("segment").applyInArrow(run, f"doc {index.schema['docs'].dataType.elementType.simpleString()}, item int, diagonal int")
+    return found.distinct() if len(anchors) > 1 else found
+
+
+def _compared(flat, starts, wanted, begin, size, row, item, diagonal, run: int, least: float) -> tuple[np.ndarray, ...]:
+    """(row, item, longest run, equal words, its place in document and item) of the diagonals that match, all compared at once.
+
+    ``flat`` holds the words of all rows, with a -1 after each row; ``wanted`` those of all items, item k from ``begin[k]`` on.
+    """
+    ends = np.append(starts[1:], len(flat)) - 1
+    lo = np.maximum(0, -diagonal)
+    n = np.maximum(np.minimum(size[item], (ends - starts)[row] - diagonal) - lo, 0)
+    which = np.repeat(np.arange(len(row)), n + 1)  # one more place for each diagonal, where any run ends
+    first = np.cumsum(n + 1) - n - 1
+    k = np.arange(len(which)) - first[which]
+    q = lo[which] + k
+    inside = k < n[which]
+    equal = np.zeros(len(which), bool)
+    w, at = which[inside], q[inside]
+    equal[inside] = flat[starts[row[w]] + diagonal[w] + at] == wanted[begin[item[w]] + at]
+    place = np.arange(len(which))
+    length = place - np.maximum.accumulate(np.where(equal, -1, place))  # of the run up to each place
+    if not len(which):
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
+    aligned, best = np.add.reduceat(equal.astype(np.int64), first), np.maximum.reduceat(length, first)
+    keep = np.flatnonzero((best >= run) | (aligned >= np.maximum(run, least * size[item])))
+    hit = np.flatnonzero(length == np.repeat(best, n + 1))
+    start = q[hit[hit.searchsorted(first[keep])]] - best[keep] + 1
+    return row[keep], item[keep], best[keep], aligned[keep], start + diagonal[keep], start
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", run: int = 12, near: float | None = 0.8) -> DataFrame:
@@ -164,11 +227,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     index = positional_index(spread_small(docs), doc_id="doc_id", text="text", terms=terms, path=new_path(spark, "index"))
     counts = term_counts(index, len(terms))
-    phrase = [(k, q, w[q]) for k, (_, w) in enumerate(coded) for q in anchor_positions(w, counts, run)]
-    found = _diagonals(index, phrase, [ANCHORS])
+    anchors = [_Anchors([(k, q, w[q]) for k, (_, w) in enumerate(coded) for q in anchor_positions(w, counts, run)], [ANCHORS] * len(coded))]
     if near is not None:
         close = [proximity_positions(w, counts, run, near) for _, w in coded]
-        found = found.unionByName(_diagonals(index, [(k, q, w[q]) for k, (_, w) in enumerate(coded) for q in close[k][0]], [h for _, h in close])).distinct()
+        anchors.append(_Anchors([(k, q, w[q]) for k, (_, w) in enumerate(coded) for q in close[k][0]], [h for _, h in close]))
+    found = _diagonals(index, anchors, max((len(w) for _, w in coded), default=0))
     per_doc = cut(found.groupBy("doc").agg(F.collect_list("item").alias("items"), F.collect_list("diagonal").alias("diagonals")), "diagonals")
     shared = spark.sparkContext.broadcast((terms, coded))
     least = near if near is not None else float("inf")
@@ -177,24 +240,19 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, coded = shared.value
-        voc, ids, texts = _Vocabulary(terms), [i for i, _ in coded], [np.array(w) for _, w in coded]
+        voc, ids = _Vocabulary(terms), pa.array([i for i, _ in coded], item_kind)
+        size = np.array([len(w) for _, w in coded], np.int64)
+        begin, wanted = np.cumsum(size) - size, np.array([x for _, w in coded for x in w], np.int64)
         for b in batches:
-            flat, begins = voc.numbers(b.column(1))
-            ends, out = np.append(begins[1:], len(flat)) - 1, []
-            for r in range(b.num_rows):
-                own = flat[begins[r] : ends[r]]
-                for k, d in zip(b.column(2)[r].values.to_pylist(), b.column(3)[r].values.to_pylist()):
-                    w = texts[k]
-                    lo, hi = max(0, -d), min(len(w), len(own) - d)
-                    hit = np.flatnonzero(own[d + lo : d + hi] == w[lo:hi])
-                    if len(hit) >= run:
-                        best = max(np.split(hit, np.flatnonzero(np.diff(hit) != 1) + 1), key=len)
-                        if len(best) >= run or len(hit) >= least * len(w):
-                            out.append((r, k, len(best), len(hit), int(best[0]) + lo + d, int(best[0]) + lo))
-            if out:
-                doc = b.column(0).take(pa.array([o[0] for o in out]))
-                cols = [doc, pa.array([ids[o[1]] for o in out], item_kind)] + [pa.array([o[j] for o in out], pa.int32()) for j in range(2, 6)]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "item_id", "run", "aligned", "doc_pos", "item_pos"])
+            flat, starts = voc.numbers(b.column(1))
+            row = np.repeat(np.arange(b.num_rows), pc.list_value_length(b.column(2)).to_numpy())
+            item, diagonal = (b.column(j).flatten().to_numpy().astype(np.int64) for j in (2, 3))
+            for at in range(0, len(row), CHECKED):
+                part = slice(at, at + CHECKED)
+                got = _compared(flat, starts, wanted, begin, size, row[part], item[part], diagonal[part], run, least)
+                if len(got[0]):
+                    cols = [b.column(0).take(pa.array(got[0])), ids.take(pa.array(got[1]))] + [pa.array(x.astype(np.int32)) for x in got[2:]]
+                    yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "item_id", "run", "aligned", "doc_pos", "item_pos"])
 
     suspects = docs.join(per_doc, F.col("doc_id").eqNullSafe(F.col("doc"))).select("doc_id", words(F.col("text")).alias("w"), "items", "diagonals")
     return suspects.mapInArrow(verify, "doc_id {}, item_id {}, run int, aligned int, doc_pos int, item_pos int".format(*kinds))

@@ -187,8 +187,10 @@ def grams(text, n):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
 
-@pytest.mark.parametrize("run", [3, 6])
-def test_leaks_by_brute_force(spark, run):
+@pytest.mark.parametrize(("run", "postings"), [(3, 4_000_000), (6, 40)])
+def test_leaks_by_brute_force(spark, monkeypatch, run, postings):
+    monkeypatch.setattr(leaks, "MAX_POSTINGS", postings)
+    monkeypatch.setattr(leaks, "CHECKED", postings)
     rng = random.Random(run)
     vocabulary = [f"w{min(rng.randrange(30), rng.randrange(30))}" for _ in range(60)]
     items = [(k, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(1, 15)))) for k in range(25)] + [(90, None), (91, ""), (92, "lone")]
