@@ -11,10 +11,15 @@ from quotaloom.operators import relational as R
 from quotaloom.plans.master import entities, province_weight, provinces, samples, with_views
 from quotaloom.plans.registry import query, table
 
+# The default distribution.
 SENTENCE_TYPES = {"nav_command": 0.22, "search": 0.20, "route_question": 0.16, "conversational": 0.16, "short_command": 0.14, "contextual": 0.12}
 PROFILES = {"formal_medium": 0.15, "neutral_short": 0.25, "neutral_medium": 0.25, "casual_short": 0.20, "casual_long": 0.15}
 CATEGORIES = {"admin_unit": 0.14, "street": 0.22, "address": 0.10, "landmark": 0.08, "transport": 0.05, "public_facility": 0.12, "commercial": 0.20, "poi_other": 0.09}
-TOTAL, IPF_STEPS = 20_000, 8
+PROVINCE_CAPS, CATEGORY_CAPS, SENTENCE_TYPE_CAPS = (0.003, 0.12), (0.03, 0.30), (0.08, 0.35)
+ENTITY_MAX_SHARE = 0.0015
+PROVINCE_OVERRIDES = {"04": 0.7}
+IPF_STEPS = 200
+TOTAL = 20_000
 PLAN_KEYS = ["province_id", "category", "sentence_type", "profile"]
 
 
@@ -34,19 +39,28 @@ def _fill_sql(source: str, key: str, low: float, high: float, passes: int = 6) -
     return ", ".join(out)
 
 
-_WEIGHTS = "pw AS (SELECT province_id, (CASE popularity_tier WHEN 1 THEN 6 WHEN 2 THEN 2 ELSE 1 END * CASE WHEN is_municipality THEN 1.5 ELSE 1 END)::DOUBLE AS w FROM prov)"
+_OVERRIDE_SQL = "CASE province_id " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in PROVINCE_OVERRIDES.items()) + " ELSE 1 END"
+_WEIGHTS = f"pw AS (SELECT province_id, ({_OVERRIDE_SQL} * CASE popularity_tier WHEN 1 THEN 6 WHEN 2 THEN 2 ELSE 1 END * CASE WHEN is_municipality THEN 1.5 ELSE 1 END)::DOUBLE AS w FROM prov)"
 
 
-def province_shares(spark: SparkSession, sf_dir: str, low: float = 0.0, high: float = 1.0) -> dict[str, float]:
-    """A bounded dimension, so its weights are read on the driver."""
-    rows = provinces(spark, sf_dir).select("province_id", province_weight().alias("w")).limit(Q.MAX_AXIS).collect()
+def _overridden(c):
+    return province_weight() * F.coalesce(*[F.when(c == k, v) for k, v in PROVINCE_OVERRIDES.items()], F.lit(1.0))
+
+
+def province_shares(spark: SparkSession, sf_dir: str, low: float = PROVINCE_CAPS[0], high: float = PROVINCE_CAPS[1]) -> dict[str, float]:
+    """Weights with overrides, held within the caps. A bounded dimension, which is checked, so it is read on the driver."""
+    rows = provinces(spark, sf_dir).select("province_id", _overridden(F.col("province_id")).alias("w")).limit(Q.MAX_AXIS + 1).collect()
+    if len(rows) > Q.MAX_AXIS:
+        raise ValueError("more provinces than the driver's limit")
+    if unknown := set(PROVINCE_OVERRIDES) - {r.province_id for r in rows}:
+        raise ValueError(f"overrides of unknown provinces: {sorted(unknown)}")
     return Q.water_fill({r.province_id: r.w for r in rows}, low, high)
 
 
 @query("normalized_shares", with_views("prov") + f", {_WEIGHTS} SELECT province_id, round(w / sum(w) OVER (), 9) AS share FROM pw")
 def normalized_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N1."""
-    p = provinces(spark, sf_dir).select("province_id", province_weight().alias("w"))
+    p = provinces(spark, sf_dir).select("province_id", _overridden(F.col("province_id")).alias("w"))
     return Q.normalized(p, "w").select("province_id", F.round("share", 9).alias("share"))
 
 
@@ -76,18 +90,22 @@ def _feasible(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.unionByName(pairs.filter("category = 'street'").withColumn("category", F.lit("address"))).distinct()
 
 
-def _block(spark: SparkSession, sf_dir: str, steps: int) -> DataFrame:
-    return Q.block_shares(_feasible(spark, sf_dir), "province_id", "category", Q.rescaled(province_shares(spark, sf_dir)), Q.rescaled(CATEGORIES), steps)
+def _clamped(weights: dict[str, float], caps: tuple[float, float]) -> dict[str, float]:
+    return Q.rescaled(Q.water_fill(weights, *caps))
+
+
+def _block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.block_shares(_feasible(spark, sf_dir), "province_id", "category", Q.rescaled(province_shares(spark, sf_dir)), _clamped(CATEGORIES, CATEGORY_CAPS), IPF_STEPS)
 
 
 def _ipf_sql(steps: int) -> str:
-    out = f""", {_WEIGHTS}, ps AS (SELECT province_id, w / sum(w) OVER () AS s FROM pw), cs AS (SELECT k AS category, v / sum(v) OVER () AS s FROM {_values(CATEGORIES, 'c')}),
+    fill = _fill_sql("pw", "province_id", *PROVINCE_CAPS)
+    out = f""", {_WEIGHTS}, {fill}, ps AS (SELECT key AS province_id, share / sum(share) OVER () AS s FROM filled), cs AS (SELECT k AS category, v / sum(v) OVER () AS s FROM {_values(CATEGORIES, 'c')}),
 fe AS (SELECT DISTINCT province_id, category FROM ent JOIN prov ON prov.name_current = ent.province),
 ff AS (SELECT * FROM fe UNION SELECT province_id, 'address' FROM fe WHERE category = 'street'),
-m0 AS (SELECT province_id, category, ps.s * cs.s AS v, ps.s AS rs, cs.s AS cs FROM ff JOIN ps USING (province_id) JOIN cs USING (category))"""
-    for i in range(steps):
-        out += f", r{i} AS (SELECT province_id, category, v * rs / sum(v) OVER (PARTITION BY province_id) AS v, rs, cs FROM m{i}), m{i + 1} AS (SELECT province_id, category, v * cs / sum(v) OVER (PARTITION BY category) AS v, rs, cs FROM r{i})"
-    return with_views("prov", "ent") + out + f", block AS (SELECT province_id, category, v / sum(v) OVER () AS share FROM m{steps})"
+m(step, province_id, category, v, rs, cs) AS (SELECT 0, province_id, category, ps.s * cs.s, ps.s, cs.s FROM ff JOIN ps USING (province_id) JOIN cs USING (category)
+ UNION ALL SELECT step + 1, province_id, category, r * cs / sum(r) OVER (PARTITION BY category), rs, cs FROM (SELECT *, v * rs / sum(v) OVER (PARTITION BY province_id) AS r FROM m WHERE step < {steps}))"""
+    return with_views("prov", "ent").replace("WITH ", "WITH RECURSIVE ", 1) + out + f", block AS (SELECT province_id, category, v / sum(v) OVER () AS share FROM m WHERE step = {steps})"
 
 
 _PLAN_SQL = _ipf_sql(IPF_STEPS) + f""", s AS (SELECT province_id, category, st.k AS sentence_type, pr.k AS profile, share * st.v * pr.v AS share FROM block, {_values(SENTENCE_TYPES, 'st')}, {_values(PROFILES, 'pr')}), """
@@ -101,11 +119,28 @@ plan AS (SELECT province_id, category, sentence_type, profile, (t0 + f + CASE WH
 @query("ipf_plan_shares", _ipf_sql(IPF_STEPS) + " SELECT province_id, category, round(share, 6) AS share FROM block")
 def ipf_plan_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N4."""
-    return _block(spark, sf_dir, IPF_STEPS).withColumn("share", F.round("share", 6))
+    return _block(spark, sf_dir).withColumn("share", F.round("share", 6))
+
+
+_MARGIN_SQL = """, x AS (SELECT 'province' AS axis, province_id AS value, s AS wanted, 0.003 AS low, 0.12 AS high FROM ps UNION ALL SELECT 'category', category, s, 0.03, 0.3 FROM cs),
+a AS (SELECT 'province' AS axis, province_id AS value, sum(share) AS got FROM block GROUP BY ALL UNION ALL SELECT 'category', category, sum(share) FROM block GROUP BY ALL)
+SELECT axis, value, round(wanted, 6) AS wanted, round(coalesce(got, 0), 6) AS got, abs(coalesce(got, 0) - wanted) <= 1e-6 AS met, coalesce(got, 0) BETWEEN low - 1e-6 AND high + 1e-6 AS within FROM x LEFT JOIN a USING (axis, value)"""
+
+
+@query("plan_margins", _ipf_sql(IPF_STEPS) + _MARGIN_SQL)
+def plan_margins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wanted and fitted share of every province and category, and whether it is met and within the caps."""
+    block = _block(spark, sf_dir)
+    wanted = [("province", k, v, *PROVINCE_CAPS) for k, v in Q.rescaled(province_shares(spark, sf_dir)).items()] + [("category", k, v, *CATEGORY_CAPS) for k, v in _clamped(CATEGORIES, CATEGORY_CAPS).items()]
+    w = spark.createDataFrame(wanted, "axis string, value string, wanted double, low double, high double")
+    got = R.union_all(*[block.groupBy(F.lit(a).alias("axis"), F.col(c).alias("value")).agg(F.sum("share").alias("got")) for a, c in (("province", "province_id"), ("category", "category"))])
+    g = F.coalesce("got", F.lit(0.0))
+    met, within = F.abs(g - F.col("wanted")) <= 1e-6, g.between(F.col("low") - 1e-6, F.col("high") + 1e-6)
+    return w.join(got, ["axis", "value"], "left").select("axis", "value", F.round("wanted", 6).alias("wanted"), F.round(g, 6).alias("got"), met.alias("met"), within.alias("within"))
 
 
 def plan_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shares = Q.spread(_block(spark, sf_dir, IPF_STEPS), {"sentence_type": SENTENCE_TYPES, "profile": PROFILES})
+    shares = Q.spread(_block(spark, sf_dir), {"sentence_type": _clamped(SENTENCE_TYPES, SENTENCE_TYPE_CAPS), "profile": Q.rescaled(PROFILES)})
     return Q.plan(shares, PLAN_KEYS, TOTAL, min_cell=2).select(*PLAN_KEYS, "target")
 
 
@@ -125,21 +160,39 @@ def scaled_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.scale(c, "t", 777, keys).select(*keys, "scaled")
 
 
-@query("plan_violations", _PLAN_SQL + """, x AS (SELECT 'category' AS axis, category AS value, sum(target) AS n FROM plan GROUP BY category UNION ALL SELECT 'sentence_type', sentence_type, sum(target) FROM plan GROUP BY sentence_type)
-SELECT axis, value, round(n / 20000, 6) AS share, CASE WHEN round(n / 20000, 6) > 0.2 + 1e-6 THEN 'above' ELSE 'below' END AS rule FROM x WHERE round(n / 20000, 6) > 0.2 + 1e-6 OR round(n / 20000, 6) < 0.09 - 1e-6""")
+_CAPS = {"province": ("province_id", PROVINCE_CAPS), "category": ("category", CATEGORY_CAPS), "sentence_type": ("sentence_type", SENTENCE_TYPE_CAPS)}
+_CHECK_SQL = _PLAN_SQL + ", n AS (" + " UNION ALL ".join(f"SELECT '{a}' AS axis, {c} AS value, sum(target) AS n FROM plan GROUP BY ALL" for a, (c, _) in _CAPS.items()) + f"""),
+d AS (SELECT 'province' AS axis, province_id AS value FROM prov UNION ALL SELECT 'category', k FROM {_values(CATEGORIES, 'c')} UNION ALL SELECT 'sentence_type', k FROM {_values(SENTENCE_TYPES, 's')}),
+x AS (SELECT axis, value, round(coalesce(n, 0) / {TOTAL}, 6) AS share, n IS NULL AS empty, CASE axis """ + " ".join(f"WHEN '{a}' THEN {lo}" for a, (_, (lo, _)) in _CAPS.items()) + " END AS low, CASE axis " + " ".join(f"WHEN '{a}' THEN {hi}" for a, (_, (_, hi)) in _CAPS.items()) + f""" END AS high FROM d LEFT JOIN n USING (axis, value))
+SELECT axis, value, share, CASE WHEN share > high + 1e-6 THEN 'above' ELSE 'below' END AS rule FROM x WHERE share > high + 1e-6 OR share < low - 1e-6
+UNION ALL SELECT axis, value, share, 'no_cell' FROM x WHERE empty AND axis = 'province'
+UNION ALL SELECT 'plan', 'total', (SELECT sum(target) FROM plan) / {TOTAL}, 'total' WHERE (SELECT sum(target) FROM plan) <> {TOTAL}
+UNION ALL SELECT 'plan', province_id || '|' || category || '|' || sentence_type || '|' || profile, round(target / {TOTAL}, 6), 'min_cell' FROM plan WHERE target < 2"""
+
+
+@query("plan_violations", _CHECK_SQL)
 def plan_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V13, A19, A21."""
+    """Shares of the rounded plan outside the caps, provinces without a cell, a wrong total, cells below the least size."""
     cells = plan_cells(spark, sf_dir)
-    return R.union_all(Q.cap_violations(cells, "category", list(CATEGORIES), 0.09, 0.2), Q.cap_violations(cells, "sentence_type", list(SENTENCE_TYPES), 0.09, 0.2))
+    domains = {"province": [r.province_id for r in provinces(spark, sf_dir).select("province_id").limit(Q.MAX_AXIS).collect()], "category": list(CATEGORIES), "sentence_type": list(SENTENCE_TYPES)}
+    out = [Q.cap_violations(cells.withColumn(a, F.col(c)), a, domains[a], *caps) for a, (c, caps) in _CAPS.items()]
+    empty = provinces(spark, sf_dir).join(cells, "province_id", "left_anti").select(F.lit("province").alias("axis"), F.col("province_id").alias("value"), F.lit(0.0).alias("share"), F.lit("no_cell").alias("rule"))
+    total = cells.agg(F.sum("target").alias("t")).filter(F.coalesce("t", F.lit(0)) != TOTAL).select(F.lit("plan").alias("axis"), F.lit("total").alias("value"), (F.col("t") / TOTAL).alias("share"), F.lit("total").alias("rule"))
+    small = cells.filter("target < 2").select(F.lit("plan").alias("axis"), cell_key(*[F.col(k) for k in PLAN_KEYS]).alias("value"), F.round(F.col("target") / TOTAL, 6).alias("share"), F.lit("min_cell").alias("rule"))
+    return R.union_all(*out, empty, total, small)
+
+
+_USES = max(1, int(ENTITY_MAX_SHARE * TOTAL + 1e-9))
 
 
-@query("plan_capacity", _PLAN_SQL + """, w AS (SELECT province_id, category, sum(target)::BIGINT AS planned FROM plan GROUP BY ALL),
-h AS (SELECT province_id, category, count(*) AS pool FROM ent JOIN prov ON prov.name_current = ent.province GROUP BY ALL)
-SELECT w.*, coalesce(pool, 0) AS pool FROM w LEFT JOIN h USING (province_id, category) WHERE planned > coalesce(pool, 0) * 10""")
+@query("plan_capacity", _PLAN_SQL + f""", w AS (SELECT province_id, category, sum(target)::BIGINT AS planned FROM plan GROUP BY ALL),
+h AS (SELECT province_id, category, count(*) AS pool FROM ent JOIN prov ON prov.name_current = ent.province GROUP BY ALL), g AS (SELECT * FROM h WHERE category <> 'address' UNION ALL SELECT province_id, 'address', pool FROM h WHERE category = 'street')
+SELECT w.*, coalesce(pool, 0) AS pool FROM w LEFT JOIN g USING (province_id, category) WHERE planned > coalesce(pool, 0) * {_USES}""")
 def plan_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A20."""
-    pool = entities(spark, sf_dir, "category", "province").join(provinces(spark, sf_dir).select("province_id", F.col("name_current").alias("province")), "province")
-    return Q.capacity_violations(plan_cells(spark, sf_dir), pool, ["province_id", "category"], 10)
+    """An entity may be used for its largest share of the total; addresses draw on the streets."""
+    pool = entities(spark, sf_dir, "category", "province").filter("category <> 'address'").join(provinces(spark, sf_dir).select("province_id", F.col("name_current").alias("province")), "province")
+    pool = pool.select("province_id", F.explode(F.when(F.col("category") == "street", F.array(F.lit("street"), F.lit("address"))).otherwise(F.array("category"))).alias("category"))
+    return Q.capacity_violations(plan_cells(spark, sf_dir), pool, ["province_id", "category"], _USES)
 
 
 @query("plan_order_keys", _PLAN_SQL + """ SELECT province_id || '|' || category || '|' || sentence_type || '|' || profile AS cell, row_number() OVER (ORDER BY province_id, category, sentence_type, profile) AS by_columns,
