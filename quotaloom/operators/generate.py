@@ -4,7 +4,7 @@ Every draw is a hash of (seed, cell, number in the cell, axis), so a row's text
 independent, any partitioning gives the same rows, and a lost task recomputes the same. Draws are staged columns, each seeing
 the ones before it. The audit columns are taken from the composed parts, not from the draws.
 
-The pool of a cell is joined on (province, category) and ranked inside the cell; only ranks below the target survive.
+A cell's pool is joined on (province, category); only entities whose race key is high enough to be among the target's are shuffled and ranked.
 """
 
 from __future__ import annotations
@@ -18,13 +18,18 @@ from quotaloom.functions import names as N
 from quotaloom.functions import numbers as D
 from quotaloom.functions.draws import pick, race_key, sample_id, uniform, weighted_pick
 from quotaloom.functions.templates import substitute
+from quotaloom.operators.quota import largest_remainder, normalized
+from quotaloom.workspace import cut
 
 
+# The default weights of the axes and of entities by tier.
 @dataclass(frozen=True)
 class Style:
     """Weights of the axes, by ``default``, register and category (the category wins), rates and words of the slots."""
 
     seed: str = "42"
+    tiers: tuple = (5.0, 2.0, 1.0)
+    admin_shares: dict = field(default_factory=lambda: {"province": 0.30, "district": 0.05, "ward": 0.65})
     depth: dict = field(default_factory=lambda: {"default": [("poi_only", 0.55), ("poi_district", 0.30), ("full_address", 0.15)], "admin_unit": [("poi_only", 0.75), ("poi_district", 0.20), ("full_address", 0.05)],
                                                 "address": [("poi_only", 0.15), ("poi_district", 0.40), ("full_address", 0.45)]})
     variant: dict = field(default_factory=lambda: {"default": [("current", 0.78), ("legacy", 0.15), ("spoken_alias", 0.07)], "admin_unit": [("current", 0.62), ("legacy", 0.28), ("spoken_alias", 0.10)]})
@@ -58,28 +63,67 @@ def _axis(style: Style, weights: dict, axis: str, use_category: bool = True) ->
     return default if out is None else out.otherwise(default)
 
 
-def draw_entities(cells: DataFrame, pool: DataFrame, seed: str) -> DataFrame:
-    """(cell, i, lap, entity columns) for i below each cell's target, in weighted order without
-    replacement, again from the front when the pool is used up. Cells without a pool give no rows."""
-    joined = cells.withColumn("pool_category", F.when(F.col("category") == "address", "street").otherwise(F.col("category"))).join(
-        pool.withColumnRenamed("category", "pool_category"), ["province_id", "pool_category"]
+def cell_groups(cells: DataFrame, pool: DataFrame, style: Style) -> DataFrame:
+    """(cell's columns, pool_category, grp, quota, offset, size, floor_key) for each group of a cell's pool.
+
+    A cell of admin units is divided among its province, districts and wards by fixed shares, which groups without a unit leave to the
+    others; every other cell is one group. Groups follow one another in the order of their names: ``offset`` is the number of rows before.
+    ``floor_key`` is a race key that more than enough of the group's entities are expected to reach: their number is the sum of
+    n (1 - t^w) over the weights w, solved by bisection.
+    """
+    sizes = pool.groupBy("province_id", F.col("category").alias("pool_category"), "grp").agg(
+        F.count("*").alias("size"), *[F.count_if(F.col("weight") == w).cast("double").alias(f"_n{k}") for k, w in enumerate(style.tiers)]
     )
-    w = Window.partitionBy("cell")
-    order = race_key(uniform(seed, F.col("cell"), F.col("entity_id"), "order"), F.col("weight"))
-    ranked = joined.withColumn("_size", F.count("*").over(w)).withColumn("_rank", F.row_number().over(w.orderBy(order.desc(), "entity_id")) - 1)
-    ranked = ranked.filter(F.col("_rank") < F.col("target"))
-    laps = F.floor((F.col("target") - 1 - F.col("_rank")) / F.col("_size")).cast("int")
-    out = ranked.withColumn("lap", F.explode(F.sequence(F.lit(0), laps)))
-    return out.withColumn("i", (F.col("_rank") + F.col("lap") * F.col("_size")).cast("long")).drop("_rank", "_size", "pool_category")
+    joined = cells.withColumn("pool_category", F.when(F.col("category") == "address", "street").otherwise(F.col("category"))).join(sizes, ["province_id", "pool_category"])
+    weight = F.coalesce(*[F.when(F.col("grp") == k, v) for k, v in style.admin_shares.items()], F.lit(1.0))
+    out = normalized(joined.withColumn("_w", weight), "_w", ["cell"])
+    out = largest_remainder(out, "share", F.col("target"), ["grp"], ["cell"], "quota").filter("quota > 0")
+    before = F.sum("quota").over(Window.partitionBy("cell").orderBy("grp")) - F.col("quota")
+    want = F.least("quota", "size")
+    enough = want + 6 * F.sqrt(want.cast("double")) + 12
+
+    def reached(t: Column) -> Column:
+        return sum((F.col(f"_n{k}") * (1 - F.pow(t, F.lit(w))) for k, w in enumerate(style.tiers)), F.lit(0.0))
+
+    def halve(s: Column, _: Column) -> Column:
+        t = (s["lo"] + s["hi"]) / 2
+        return F.struct(F.when(reached(t) >= enough, t).otherwise(s["lo"]).alias("lo"), F.when(reached(t) >= enough, s["hi"]).otherwise(t).alias("hi"))
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(40)), F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi")), halve)["lo"]
+    out = out.withColumn("offset", before).withColumn("floor_key", F.when(enough >= F.col("size"), 0.0).otherwise(found))
+    return out.drop("_w", "share", *[f"_n{k}" for k in range(len(style.tiers))])
+
+
+def draw_entities(cells: DataFrame, pool: DataFrame, style: Style) -> DataFrame:
+    """(cell, i, lap, entity columns) for i below each cell's target, in weighted order without
+    replacement, again from the front when a group of the pool is used up. Cells without a pool give no rows.
+
+    Only entities above the group's floor key are shuffled and ranked, about as many as it needs. A group that they don't suffice
+    for, next to none, takes its whole pool. With ``have`` among the cells' columns, rows below that number are left out.
+    """
+    groups = cut(cell_groups(cells, pool, style), "groups")
+    keyed = pool.withColumnRenamed("category", "pool_category").join(groups, ["province_id", "pool_category", "grp"])
+    keyed = keyed.withColumn("_key", race_key(uniform(style.seed, F.col("cell"), F.col("entity_id"), "order"), F.col("weight")))
+    drawn = cut(keyed.filter(F.col("_key") >= F.round("floor_key", 12)), "drawn")
+    short = groups.join(drawn.groupBy("cell", "grp").agg(F.count("*").alias("_got")), ["cell", "grp"], "left").filter(F.coalesce("_got", F.lit(0)) < F.least("quota", "size")).select("cell", "grp")
+    short = cut(short, "short")
+    if not short.isEmpty():
+        drawn = drawn.join(short, ["cell", "grp"], "left_anti").unionByName(keyed.join(short, ["cell", "grp"], "left_semi").select(*drawn.columns))
+    w = Window.partitionBy("cell", "grp").orderBy(F.col("_key").desc(), "entity_id")
+    ranked = drawn.withColumn("_rank", F.row_number().over(w) - 1).filter(F.col("_rank") < F.col("quota"))
+    out = ranked.withColumn("lap", F.explode(F.sequence(F.lit(0), F.floor((F.col("quota") - 1 - F.col("_rank")) / F.col("size")).cast("int"))))
+    out = out.withColumn("i", (F.col("offset") + F.col("_rank") + F.col("lap") * F.col("size")).cast("long"))
+    out = out.filter(F.col("i") >= F.col("have")).drop("have") if "have" in cells.columns else out
+    return out.drop("_rank", "_key", "size", "offset", "quota", "floor_key", "grp", "pool_category")
 
 
 def assign_templates(rows: DataFrame, templates: DataFrame, seed: str) -> DataFrame:
-    """An entity's uses in a cell take templates from a hashed start onwards, so no pair repeats before all are used.
-    ``templates`` has (sentence_type, profile, ordinal, n, ...)."""
+    """An entity's uses in a cell take templates from a hashed start onwards, so no pair repeats before all are used;
+    ``repeated`` tells a pair that does. ``templates`` has (sentence_type, profile, ordinal, n, ...)."""
     n = templates.groupBy("sentence_type", "profile").agg(F.count("*").alias("n_templates"))
     start = F.floor(uniform(seed, F.col("cell"), F.col("entity_id"), "template") * F.col("n_templates")).cast("long")
-    at = rows.join(F.broadcast(n), ["sentence_type", "profile"]).withColumn("ordinal", F.pmod(start + F.col("lap"), F.col("n_templates")))
-    return at.join(F.broadcast(templates), ["sentence_type", "profile", "ordinal"])
+    at = rows.join(n, ["sentence_type", "profile"]).withColumn("ordinal", F.pmod(start + F.col("lap"), F.col("n_templates")))
+    return at.withColumn("repeated", F.col("lap") >= F.col("n_templates")).join(templates, ["sentence_type", "profile", "ordinal"])
 
 
 def draw_axes(rows: DataFrame, style: Style) -> DataFrame:
@@ -115,20 +159,26 @@ def alias_candidates(aliases: DataFrame, provinces: DataFrame) -> DataFrame:
 
 
 def resolve_names(rows: DataFrame, candidates: DataFrame, style: Style) -> DataFrame:
-    """The province's name in the drawn variant; without a candidate, or an ambiguous legacy one on another entity, the
-    current name, and the variant says so."""
-    rows = rows.join(F.broadcast(candidates), "province_id", "left")
+    """The province's name in the drawn variant; without a candidate the current name, and the variant says so.
+
+    A hint narrows the legacy names to itself, unless it is none of them. Another entity than the province takes a legacy name only
+    with a hint or where there is one alone.
+    """
+    rows = rows.join(candidates, "province_id", "left")
     none = F.array().cast("array<struct<alias:string,prefix:string>>")
-    legacy_ok = (F.col("subcategory") == "province") | F.col("unambiguous")
-    options = F.when((F.col("drawn_variant") == "legacy") & legacy_ok, F.coalesce("legacy", none)).when(F.col("drawn_variant") == "spoken_alias", F.coalesce("spoken", none)).otherwise(none)
+    hinted = F.coalesce(F.col("hint") != "", F.lit(False)) & (F.col("subcategory") != "province")
+    own = F.filter("legacy", lambda x: x["alias"] == F.col("hint"))
+    legacy = F.when(hinted & (F.size(own) > 0), own).otherwise(F.coalesce("legacy", none))
+    legacy_ok = (F.col("subcategory") == "province") | hinted | F.col("unambiguous")
+    options = F.when((F.col("drawn_variant") == "legacy") & legacy_ok, legacy).when(F.col("drawn_variant") == "spoken_alias", F.coalesce("spoken", none)).otherwise(none)
     rows = rows.withColumn("_alias", pick(options, _u(style, "alias")))
     found = F.col("_alias").isNotNull()
-    own = F.when(F.col("is_municipality"), "thành phố").otherwise("tỉnh")
+    prefix = F.when(F.col("is_municipality"), "thành phố").otherwise("tỉnh")
     rows = rows.withColumns({
         "name_variant": F.when(found, F.col("drawn_variant")).otherwise("current"),
         "marker": F.col("drawn_marker") & found & (F.col("drawn_variant") == "legacy"),
         "province_name": F.when(found, F.col("_alias.alias")).otherwise(F.col("name_current")),
-        "province_prefix": F.when(found, F.col("_alias.prefix")).otherwise(own),
+        "province_prefix": F.when(found, F.col("_alias.prefix")).otherwise(prefix),
     })
     return rows.drop("_alias", "legacy", "spoken", "unambiguous", "is_municipality")
 
@@ -146,33 +196,54 @@ def house_number(style: Style) -> Column:
 
 
 def compose(rows: DataFrame, style: Style) -> DataFrame:
-    """The entity's phrase and its address tail."""
+    """The entity's phrase, its address tail, and the audit columns of what was said: district, ward, street, address,
+    and whether an admin prefix was."""
     read = F.col("_read")
-    rows = rows.withColumn("_read", F.when(F.col("number_style") == "none", F.lit(D.CARDINAL)).otherwise(F.col("number_style")))
+    rows = rows.withColumns({
+        "_read": F.when(F.col("number_style") == "none", F.lit(D.CARDINAL)).otherwise(F.col("number_style")),
+        "_number": F.when(F.col("category") == "address", house_number(style)),
+    })
     said = {}
     for field in ("name", "district"):  # names without digits or abbreviations keep clear of the reading
         c = F.col(field)
         said[f"_{field}"] = F.when(c.rlike("[0-9]"), D.verbalize_name(c, read)).otherwise(D.expand_abbreviations(c))
-    rows = rows.withColumns(said | {"_house": F.when(F.col("category") == "address", D.read_house_number(house_number(style), read))})
+    rows = rows.withColumns(said | {"_house": D.read_house_number(F.col("_number"), read)})
     spoken = F.col("_name")
     word, rest = N.street_prefix(spoken)
     rows = rows.withColumns({"_word": word, "_rest": rest})
     word, rest = F.col("_word"), F.col("_rest")
     marked = F.when(F.col("marker"), "cũ").otherwise("")
+    unit, sub = F.col("category") == "admin_unit", F.col("subcategory")
+    is_street = F.col("category").isin("street", "address")
     province = _joined(F.when(F.col("admin_prefix"), F.col("province_prefix")).otherwise(""), F.col("province_name"), marked)
     decorative = F.coalesce(word.isin("Đường", "Phố"), F.lit(False))
     street_word = F.when(decorative & ~F.col("admin_prefix"), "").when(word.isNotNull(), F.lower(word)).when(F.col("admin_prefix"), "đường").otherwise("")
     so = F.when(F.col("number_word"), "số").otherwise("")
     street = N.lower_street_words(_joined(street_word, so, rest))
-    address = N.lower_street_words(_joined(so, F.col("_house"), F.coalesce(F.lower(word), F.when(F.col("admin_prefix"), "đường").otherwise("")), rest))
-    unit = _joined(F.when(F.col("admin_prefix") & ~N.embeds_type(spoken, F.col("unit_type")), F.col("unit_type")).otherwise(""), spoken)
+    address_word = F.coalesce(F.lower(word), F.when(F.col("admin_prefix"), "đường").otherwise(""))
+    address = N.lower_street_words(_joined(so, F.col("_house"), address_word, rest))
+    typed = F.col("admin_prefix") & (F.col("unit_type") != "") & ~N.embeds_type(spoken, F.col("unit_type"))
     core = (
-        F.when(F.col("category") == "address", address).when(F.col("category") == "street", street).when(F.col("subcategory") == "province", province)
-        .when(F.col("category") == "admin_unit", unit).otherwise(spoken)
+        F.when(F.col("category") == "address", address).when(F.col("category") == "street", street).when(sub == "province", province)
+        .when(unit, _joined(F.when(typed, F.col("unit_type")).otherwise(""), spoken)).otherwise(spoken)
     )
-    tail = F.when((F.col("depth") == "poi_district") & (F.col("subcategory") != "district"), _joined(F.lit("ở"), F.col("_district")))
-    tail = tail.when((F.col("depth") == "full_address") & (F.col("subcategory") != "province"), _joined(F.lit("ở"), F.when(F.col("tail_prefix"), F.col("province_prefix")).otherwise(""), F.col("province_name"), marked))
-    return rows.withColumns({"_core": core, "_tail": F.coalesce(tail, F.lit(""))}).withColumn("phrase", _joined(F.col("_core"), F.col("_tail")))
+    in_district = (F.col("depth") == "poi_district") & ~(unit & sub.isin("province", "district"))
+    in_province = (F.col("depth") == "full_address") & ~(unit & (sub == "province"))
+    district_typed = F.col("tail_prefix") & (F.col("district_type") != "") & ~N.embeds_type(F.col("district"), F.col("district_type"))
+    tail = F.when(in_district, _joined(F.lit("ở"), F.when(district_typed, F.col("district_type")).otherwise(""), F.col("_district")))
+    tail = tail.when(in_province, _joined(F.lit("ở"), F.when(F.col("tail_prefix"), F.col("province_prefix")).otherwise(""), F.col("province_name"), marked))
+    prefixed = (
+        F.when(F.col("category") == "address", address_word != "").when(F.col("category") == "street", street_word != "")
+        .when(sub == "province", F.col("admin_prefix") & (F.col("province_prefix") != "")).when(unit, typed).otherwise(False)
+    )
+    tail_prefixed = F.when(in_district, district_typed).when(in_province, F.col("tail_prefix") & (F.col("province_prefix") != "")).otherwise(False)
+    return rows.withColumns({
+        "_core": core, "_tail": F.coalesce(tail, F.lit("")), "prefix_said": F.coalesce(prefixed | tail_prefixed, F.lit(False)),
+        "said_district": F.when(unit & (sub == "district"), F.col("name")).when(in_district, F.col("district")),
+        "said_ward": F.when(unit & (sub == "ward"), F.col("name")), "said_street": F.when(is_street, F.col("name")),
+        "said_address": F.when(F.col("category") == "address", F.concat_ws(" ", "_number", "name")),
+        "says_province": (unit & (sub == "province")) | in_province,
+    }).withColumn("phrase", _joined(F.col("_core"), F.col("_tail")))
 
 
 def _slot(style: Style, table: dict, axis: str, keep=lambda o: F.lit(True), text=lambda o: o) -> Column:
@@ -199,15 +270,22 @@ def fill_slots(rows: DataFrame, style: Style) -> DataFrame:
     return rows.withColumn("text", text).drop("_o", "_f")
 
 
+def drawn(cells: DataFrame, pool: DataFrame, templates: DataFrame, style: Style) -> DataFrame:
+    """The rows with entity, template and axes, before any text is composed."""
+    return draw_axes(assign_templates(draw_entities(cells, pool, style), templates, style.seed), style)
+
+
 def generate(cells: DataFrame, pool: DataFrame, templates: DataFrame, candidates: DataFrame, style: Style) -> DataFrame:
-    """Exactly ``target`` rows of every cell that has a pool and templates."""
-    rows = assign_templates(draw_entities(cells, pool, style.seed), templates, style.seed)
-    rows = fill_slots(compose(resolve_names(draw_axes(rows, style), candidates, style), style), style)
-    variation = F.concat_ws("+", "name_variant", "number_style", F.when(F.col("number_word"), "number_word").otherwise("no_prefix"), "register")
-    legacy = F.when(F.col("name_variant") == "legacy", F.col("province_name"))
+    """Exactly ``target`` rows of every cell that has a pool and templates, in the columns of a sample, and their number i."""
+    rows = fill_slots(compose(resolve_names(drawn(cells, pool, templates, style), candidates, style), style), style)
+    said = F.when(F.col("says_province"), F.col("name_variant")).otherwise("current")
+    variation = F.concat_ws("+", said, "number_style", F.when(F.col("prefix_said"), "prefix").otherwise("no_prefix"), "register")
+    legacy = F.when(said == "legacy", F.col("province_name"))
+    kind = F.when(F.col("category") == "address", "house_address").otherwise(F.col("subcategory"))
     return rows.select(
-        sample_id(F.col("cell"), F.col("i")).alias("id"), "text", "category", "subcategory", F.col("phrase").alias("entity"), "entity_id", F.col("name_current").alias("province"), legacy.alias("province_legacy"),
-        "sentence_type", "template_id", variation.alias("variation"), "name_variant", "number_style", "register", F.col("cell").alias("seed_cell"), "i",
+        sample_id(F.col("cell"), F.col("i")).alias("id"), "text", "category", kind.alias("subcategory"), F.col("phrase").alias("entity"), "entity_id", F.col("name_current").alias("province"),
+        legacy.alias("province_legacy"), F.col("said_district").alias("district"), F.col("said_ward").alias("ward"), F.col("said_street").alias("street"), F.col("said_address").alias("address"),
+        "sentence_type", "template_id", variation.alias("variation"), said.alias("name_variant"), "number_style", "register", "source", F.col("cell").alias("seed_cell"), "i", "repeated",
     )
 
 

@@ -70,10 +70,10 @@ def samples(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return R.latest_rows(table(spark, sf_dir, "generate_small"), "id", "loaded_at", ["id", *(c for c in columns if c != "id")])
 
 
-def entities(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+def entities(spark: SparkSession, sf_dir: str, *columns: str, where: str = "true") -> DataFrame:
     """(entity_id, columns) of each entity, from its smallest record id in its last delivery: one aggregate over the
-    columns asked for, without first looking for repeated deliveries."""
-    s = table(spark, sf_dir, "generate_small").filter("entity_id is not null and id is not null")
+    columns asked for, without first looking for repeated deliveries; of the records that fulfil ``where``."""
+    s = table(spark, sf_dir, "generate_small").filter("entity_id is not null and id is not null").filter(where)
     s = s.select("entity_id", "id", (-F.unix_micros(F.col("loaded_at").cast("timestamp"))).alias("_late"), *columns)
     return R.first_per_group(s, [F.col("entity_id")], ["id", "_late"]).select("entity_id", *columns)
 
