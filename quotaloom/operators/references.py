@@ -9,9 +9,9 @@ the latest end of validity of the parents seen so far. So a reference is decided
 * the key's earliest parent comes after the reference: ``late``;
 * else ``deleted``.
 
-Running frames only (unbounded preceding to current row), so no group is ever held in memory. A key that holds more
-than its share of all references is salted: its references are spread over several slices, and its few parent rows are
-copied into each slice.
+Running frames only (unbounded preceding to current row). A group of key and slice is buffered by its task and spills beyond the
+buffer, so slices are bounded: a key with more than ``slice_rows`` references is salted, its references are spread over several
+slices, and its few parent rows are copied into each. However many keys are hot, none is left whole.
 
 Cases: null or blank references are no references. Keys compare after trimming blanks and tabs and lower-casing. Repeated
 rows come out each. A parent whose loaded_at is null never becomes valid and gives no arrival; a reference whose loaded_at
@@ -31,15 +31,9 @@ def key_of(col: Column) -> Column:
     return F.nullif(F.lower(F.regexp_replace(col, r"^[ \t]+|[ \t]+$", "")), F.lit(""))
 
 
-def hot_keys(refs: DataFrame, key: str, slice_rows: int, max_keys: int) -> list[tuple[str, int]]:
-    """The keys with more than ``slice_rows`` rows and their number of slices, largest first.
-
-    At most rows/slice_rows keys qualify; ``max_keys`` bounds what reaches the driver, and keys beyond it, which are the
-    smallest of the hot ones, stay whole.
-    """
-    counts = refs.groupBy(key).count().filter(F.col("count") > slice_rows)
-    rows = counts.orderBy(F.desc("count"), key).limit(max_keys).collect()
-    return [(r[0], -(-r[1] // slice_rows)) for r in rows]
+def hot_keys(refs: DataFrame, key: str, slice_rows: int) -> DataFrame:
+    """(_hot, _n): the keys with more than ``slice_rows`` rows and their number of slices; at most rows / slice_rows."""
+    return refs.groupBy(F.col(key).alias("_hot")).count().filter(F.col("count") > slice_rows).select("_hot", F.ceil(F.col("count") / slice_rows).cast("int").alias("_n"))
 
 
 def orphan_references(
@@ -52,31 +46,22 @@ def orphan_references(
     at: str = "loaded_at",
     deleted_at: str = "deleted_at",
     table_name: str = "refs",
-    slice_rows: int = 1_000_000,
-    max_hot_keys: int = 10_000,
+    slice_rows: int = 200_000,
 ) -> DataFrame:
     """(table_name, row_id, key, reason, period) of every reference without a valid parent at its time."""
     r = refs.select(key_of(F.col(ref_key)).alias("_k"), F.col(at).alias("_t"), F.col(row_id).alias("_id"))
     r = r.filter(F.col("_k").isNotNull() & F.col("_t").isNotNull())
     p = parents.select(key_of(F.col(parent_key)).alias("_k"), F.col(at).alias("_t"), F.col(deleted_at).alias("_d"))
     p = p.filter(F.col("_k").isNotNull())
-    hot = hot_keys(r, "_k", slice_rows, max_hot_keys)
-    if hot:
-        spark = refs.sparkSession
-        slices = F.broadcast(spark.createDataFrame(hot, "_k string, _n int"))
-        r = r.join(slices, "_k", "left").withColumn("_s", F.coalesce(F.pmod(F.xxhash64("_id"), F.col("_n")).cast("int"), F.lit(0))).drop("_n")
-    else:
-        r = r.withColumn("_s", F.lit(0))
+    slices = hot_keys(r, "_k", slice_rows)
+    r = r.join(slices, F.col("_k") == F.col("_hot"), "left").withColumn("_s", F.coalesce(F.pmod(F.xxhash64("_id"), F.col("_n")).cast("int"), F.lit(0))).drop("_hot", "_n")
     head = p.groupBy("_k").agg(F.min("_t").alias("_first"))
     kinds = [
         head.select("_k", F.lit(None).cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_kind"), F.lit(None).cast("timestamp_ntz").alias("_d"), F.col("_first").cast("timestamp_ntz").alias("_first")),
         p.filter(F.col("_t").isNotNull()).select("_k", F.col("_t").cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"), F.coalesce(F.col("_d").cast("timestamp_ntz"), F.lit(FOREVER).cast("timestamp_ntz")).alias("_d"), F.lit(None).cast("timestamp_ntz").alias("_first")),
     ]
     side = kinds[0].unionByName(kinds[1])
-    if hot:
-        side = side.join(slices, "_k", "left").withColumn("_s", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_n"), F.lit(1)) - 1))).drop("_n")
-    else:
-        side = side.withColumn("_s", F.lit(0))
+    side = side.join(slices, F.col("_k") == F.col("_hot"), "left").withColumn("_s", F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1))).drop("_hot", "_n")
     side = side.withColumn("_id", F.lit(None).cast(refs.schema[row_id].dataType))
     stream = side.unionByName(
         r.select("_k", F.col("_t").cast("timestamp_ntz").alias("_t"), F.lit(2).alias("_kind"), F.lit(None).cast("timestamp_ntz").alias("_d"), F.lit(None).cast("timestamp_ntz").alias("_first"), "_s", "_id")

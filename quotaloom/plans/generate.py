@@ -40,7 +40,7 @@ def bank(spark: SparkSession) -> DataFrame:
 
 def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Speakable entities of known provinces, the provinces, their districts and wards, which inherit their district's hint.
-    Weights by tier: hand-kept entities 1, others 2; provinces their own, districts 2, wards 3."""
+    Written once, since its sizes and its entities are read. Weights by tier: hand-kept entities 1, others 2; provinces their own, districts 2, wards 3."""
     p = provinces(spark, sf_dir).select("province_id", F.col("name_current").alias("province"), F.col("popularity_tier").alias("tier"))
     cols = ["entity", "category", "subcategory", "province", "district", "source"]
     e = entities(spark, sf_dir, *cols, where="category not in ('address', 'admin_unit')").join(p.drop("tier"), "province")
@@ -68,7 +68,7 @@ def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
         unit(w, "ward", F.col("ward_id"), F.col("name"), F.coalesce("_d", no), F.coalesce("_t", no), F.col("type"), F.when(inside, F.col("_h")).otherwise(F.col("legacy_alias")), F.lit(3)),
     ]
     out = R.union_all(e, *units).filter(N.is_speakable(F.col("name")))
-    return out.withColumn("weight", F.when(F.col("tier") == 1, STYLE.tiers[0]).when(F.col("tier") == 2, STYLE.tiers[1]).otherwise(STYLE.tiers[2])).drop("tier")
+    return cut(out.withColumn("weight", F.when(F.col("tier") == 1, STYLE.tiers[0]).when(F.col("tier") == 2, STYLE.tiers[1]).otherwise(STYLE.tiers[2])).drop("tier"), "pool")
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +152,7 @@ UNION ALL SELECT cell, 'pair_repeated', count(*) FROM pairs WHERE lap >= 2 GROUP
 UNION ALL SELECT cell, 'empty_pool', target FROM c WHERE NOT EXISTS (SELECT 1 FROM pool WHERE pool.province_id = c.province_id AND pool.category = CASE c.category WHEN 'address' THEN 'street' ELSE c.category END)""")
 def generation_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generated rows, repeated pairs and rejected rows of each cell; texts aren't composed for it."""
-    c, p, b = cells(spark, sf_dir), cut(pool(spark, sf_dir), "pool"), bank(spark)
+    c, p, b = cells(spark, sf_dir), pool(spark, sf_dir), bank(spark)
     done = G.assign_templates(G.draw_entities(c, p, STYLE), b, STYLE.seed).groupBy("cell").agg(F.count("*").alias("generated"), F.count_if("repeated").alias("pair_repeated"))
     done = done.unpivot("cell", ["generated", "pair_repeated"], "reason", "n").filter("n > 0")
     return done.unionByName(G.reject_counts(c, p, b))

@@ -71,7 +71,8 @@ def plain_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P2, P3."""
     raw = F.concat_ws(" ", "entity", F.when(F.col("entity_id").endswith("3"), F.col("entity")))
-    return entities(spark, sf_dir, "entity").select("entity_id", N.clean_name(raw).alias("name"))
+    e = entities(spark, sf_dir, "entity").select("entity_id", N.nfc(raw).alias("raw"))
+    return e.select("entity_id", N.clean_name(F.col("raw")).alias("name"))
 
 
 @query("usable_names", r"""SELECT p_partkey, p_name, p_size FROM (SELECT p_partkey, p_size, CASE p_size % 5 WHEN 0 THEN 'Chợ' WHEN 1 THEN 'MX' WHEN 2 THEN 'ACB' WHEN 3 THEN 'Khach San Misa' ELSE p_name END AS p_name FROM part)

@@ -1,4 +1,4 @@
-"""Schemas of the stored tables (survey 1.3) and of raw inputs."""
+"""Schemas of the stored tables (survey 1.3) and of raw inputs. File, column and key names are fixed values of the format."""
 
 from pyspark.sql import types as T
 

@@ -1,8 +1,8 @@
 """Where intermediate tables live, and how lineage is cut.
 
 Intermediate tables are written as Parquet below the folder that the cluster names in ``spark.checkpoint.dir`` (shared by
-all executors, so a lost executor loses nothing). Only a session without that setting, as in tests, gets a folder of its
-own.
+all executors, so a lost executor loses nothing). Only a local session without that setting, as in tests, gets a folder of its
+own; on a cluster the setting must be there.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ def shared_dir(spark: SparkSession) -> str:
     if app not in _FOLDERS:
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
             base = "file://" + tempfile.mkdtemp(prefix="quotaloom-")
             spark.conf.set("spark.checkpoint.dir", base)
         _FOLDERS[app] = f"{base.rstrip('/')}/quotaloom-{app}"

@@ -50,7 +50,8 @@ def test_clean_name(spark):
         "Sea Castle\nHotel": "Sea Castle", "A;B": "A", "Sea Castle Sea Castle": "Sea Castle", "Nhậu Nhậu Nhậu": "Nhậu", "A & B": "A và B", "Tp.Huế": "Thành phố Huế", "Quán (cơ sở hai)": "Quán cơ sở hai",
         "Văn – Quốc": "Văn Quốc", "a_b|c": "a b c", "Cho\u031b\u0323": "Chợ", "": "",
     }
-    got = values(spark, [(k,) for k in cases], names.clean_name)
+    composed = values(spark, [(k,) for k in cases], names.nfc)
+    got = values(spark, [(k,) for k in composed], names.clean_name)
     assert got == list(cases.values())
     assert values(spark, [(v,) for v in got], names.clean_name) == got
 
@@ -118,3 +119,23 @@ def test_draws_are_uniform_and_stable(spark):
     df = spark.range(4000).select(draws.uniform("7", F.col("id").cast("string"), "axis").alias("u"), draws.weighted_pick([("a", 3.0), ("b", 1.0)], draws.uniform("7", F.col("id").cast("string"), "pick")).alias("p"))
     mean, low, high, a = df.agg(F.avg("u"), F.min("u"), F.max("u"), F.avg((F.col("p") == "a").cast("int"))).first()
     assert abs(mean - 0.5) < 0.02 and 0 <= low and high < 1 and abs(a - 0.75) < 0.03
+
+
+def without_repeats(words):
+    """The plain way: drop the second of two equal neighbouring groups, longest and leftmost first, until there is none."""
+    for size in range(len(words) // 2, 0, -1):
+        for at in range(len(words) - 2 * size + 1):
+            left, right = words[at : at + size], words[at + size : at + 2 * size]
+            if [w.lower() for w in left] == [w.lower() for w in right]:
+                return without_repeats(words[: at + size] + words[at + 2 * size :])
+    return words
+
+
+def test_adjacent_repeats(spark):
+    import random
+
+    rng = random.Random(7)
+    rows = [" ".join(rng.choice(["a", "A", "bé", "BÉ", "c.d"]) for _ in range(rng.randint(0, 5))) for _ in range(150)]
+    rows += ["x y x y x y", "một hai Một hai ba", "a a b a a b", "(a (a", "", "a\\1 a\\1", "$1 $1", "hồ hồ hồ hồ Hồ", "ngõ 1 ngõ 1 ngõ 2"]
+    got = values(spark, [(r,) for r in rows], names.adjacent_repeats)
+    assert got == [" ".join(without_repeats(r.split(" "))) for r in rows]
