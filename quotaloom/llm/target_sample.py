@@ -9,7 +9,7 @@ all rows sorts only about 8 * sqrt(target) of them.
 
 Cases: null or missing targets make no cell; rows of the plan that are equal in all columns count once; a target of 0 draws
 nothing (``minimum`` applies to positive targets); a cell without records comes out with its whole target as deficit; records
-with a null category match no cell; a record delivered again counts once. Ties in u go to the smaller id.
+with a null category match no cell; a record delivered again counts once, with the least of its deliveries' keys taken together. Ties in u go to the smaller id.
 """
 
 from __future__ import annotations
@@ -37,7 +37,8 @@ def draw_to_targets(records: DataFrame, cells: DataFrame, *, record: str, keys:
     own = ("observed", "quota", "drawn", "deficit", "_lo", "_hi")  # columns of the report; cells that bring such names lose them
     cells = cells.drop(*own)
     once = records.select(F.col(record).alias("_id"), *[F.col(k).alias(k) for k in keys]).filter(F.col(record).isNotNull())
-    once = cut(once.groupBy("_id").agg(*[F.min(k).alias(k) for k in keys]).withColumn("_u", unit_hash(F.col("_id"), F.lit(seed))), "records")
+    least = once.groupBy("_id").agg(F.min(F.struct(*[F.col(k) for k in keys])).alias("_r")).select("_id", *[F.col("_r")[k].alias(k) for k in keys])
+    once = cut(least.withColumn("_u", unit_hash(F.col("_id"), F.lit(seed))), "records")
     observed = once.groupBy(*keys).agg(F.count("*").alias("observed"))
     quota = F.when(F.col(target) > 0, F.greatest(F.col(target), F.lit(minimum))).otherwise(0).cast("long")
     plan = cells.join(observed, keys, "left").withColumn("observed", F.coalesce("observed", F.lit(0).cast("long"))).withColumn("quota", quota)

@@ -10,7 +10,7 @@ A record delivered again (same record, later rows) is seen by the same compariso
 
 Cases: null values and empty terms don't count; values are compared exactly as written; a null record id is left out;
 an empty table gives an empty result. Columns of other names are dropped first, so clashes can't happen. A partition holds
-at most one counter for each of its own tokens.
+at most ``MAX_TERMS`` counters of a field and one batch's; beyond that it hands on what it has, and starts anew.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from quotaloom.workspace import cut
 
+MAX_TERMS = 1 << 20
 SCHEMA = "field string, value string, occurrences long, records long"
 TOTAL = "\x00records"
 
@@ -92,16 +93,23 @@ def _stream(values: list[str], multi: dict[str, str]):
                     tokens = parts.flatten()
                 some = pc.not_equal(tokens, "").to_numpy(zero_copy_only=False)
                 counters[f].add(tokens.filter(pa.array(some)), owner[some])
+            for f in fields:  # a record's tokens lie in one row, so counters may start anew between batches
+                if len(counters[f].slot) > MAX_TERMS:
+                    yield from given(f, counters[f])
+                    counters[f] = _Counters()
         if records:
             yield pa.RecordBatch.from_arrays([pa.array([TOTAL]), pa.array([""]), pa.array([records]), pa.array([records])], names=["field", "value", "occurrences", "records"])
         for f, c in counters.items():
-            names = list(c.slot)
-            for i in range(0, len(names), 20_000):
-                part = names[i : i + 20_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([f] * len(part)), pa.array(part, pa.string()), pa.array(c.occ[i : i + len(part)]), pa.array(c.rec[i : i + len(part)])],
-                    names=["field", "value", "occurrences", "records"],
-                )
+            yield from given(f, c)
+
+    def given(f: str, c: _Counters) -> Iterator[pa.RecordBatch]:
+        names = list(c.slot)
+        for i in range(0, len(names), 20_000):
+            part = names[i : i + 20_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f] * len(part)), pa.array(part, pa.string()), pa.array(c.occ[i : i + len(part)]), pa.array(c.rec[i : i + len(part)])],
+                names=["field", "value", "occurrences", "records"],
+            )
 
     return run
 

@@ -256,7 +256,10 @@ def term_rows():
     return rows + [(i, a, b, n + 9) for i, a, b, n in rows[:60]] + [(None, "a", "x", 1)]
 
 
-def test_term_counts(spark):
+@pytest.mark.parametrize("most", [1 << 20, 1])
+def test_term_counts(spark, monkeypatch, most):
+    monkeypatch.setattr(term_counts, "MAX_TERMS", most)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     rows = term_rows()
     df = spark.createDataFrame([(*r, "c") for r in rows], "id string, one string, many string, at int, field string")
     got = {(r.field, r.value): (r.occurrences, r.records) for r in term_counts.term_frequencies(df, record="id", order="at", values=["one"], multi={"many": "+"}).collect()}
@@ -268,6 +271,7 @@ def test_term_counts(spark):
                 want[field, t][0] += n
                 want[field, t][1] += 1
     want[term_counts.TOTAL, ""] = [200, 200]
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == {k: tuple(v) for k, v in want.items()}
 
 

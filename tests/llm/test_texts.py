@@ -380,6 +380,13 @@ def test_sample_meets_targets(spark, seed):
     assert len(drawn) == len(set(drawn)) == 513
 
 
+def test_a_record_with_two_values_keeps_one_of_them(spark):
+    records = spark.createDataFrame([("a", "k1", "z2"), ("a", "k2", "z1")], "id string, kind string, zone string")
+    cells = spark.createDataFrame([("k1", "z2", 1), ("k1", "z1", 1), ("k2", "z1", 1)], "kind string, zone string, target long")
+    report = target_sample.draw_to_targets(records, cells, record="id", keys=["kind", "zone"])[1].collect()
+    assert {(r.kind, r.zone): r.drawn for r in report} == {("k1", "z2"): 1, ("k1", "z1"): 0, ("k2", "z1"): 0}
+
+
 def test_sample_of_nothing(spark):
     records, cells = sample_world(spark)
     assert target_sample.draw_to_targets(records.limit(0), cells, record="id", keys=["kind"])[0].count() == 0
