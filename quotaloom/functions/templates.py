@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotaloom.functions.numbers import ABBREVIATIONS
 
 SLOTS = ["opener", "entity", "closer", "category_noun"]
 # Fixed values of the domain.
+SENTENCE_TYPES = ["nav_command", "search", "route_question", "conversational", "short_command", "contextual"]
+REGISTERS, LENGTH_CLASSES = ["formal", "neutral", "casual"], ["short", "medium", "long"]
 QUANTIFIERS = ["một", "các", "những", "mấy", "vài", "cái"]
 WAY_WORDS = ["đường", "lối", "hướng", "phố"]
 
@@ -77,3 +79,14 @@ def template_issues(template_id: Column, slots: Column, text: Column, allowed_wo
         (text.rlike(rf"(?U)\b({'|'.join(WAY_WORDS)})\s+\{{entity\}}"), "no_bare_classifier"),
     ]
     return F.array_compact(F.array(*[F.when(broken, name) for broken, name in rules]))
+
+
+def table_issues(templates: DataFrame, allowed_words: list[str]) -> DataFrame:
+    """(template_id, rule) of every broken rule of a table of templates: ids that are missing or not unique, values outside the
+    fixed lists, and the rules of ``template_issues``. Ids are counted by an aggregate, not by a window over the table."""
+    known = {"sentence_type": SENTENCE_TYPES, "register": REGISTERS, "length_class": LENGTH_CLASSES}
+    enums = [F.when(~F.coalesce(F.col(c).isin(v), F.lit(False)), f"known_{c}") for c, v in known.items()]
+    named = F.coalesce("template_id", F.lit("")) != ""
+    rules = F.concat(F.array_compact(F.array(F.when(~named, "has_id"), *enums)), template_issues(F.col("template_id"), F.col("slots"), F.col("text"), allowed_words))
+    twice = templates.filter(named).groupBy("template_id").count().filter("count > 1").select("template_id", F.lit("unique_id").alias("rule"))
+    return templates.select(F.coalesce("template_id", F.lit("")).alias("template_id"), F.explode(rules).alias("rule")).unionByName(twice)

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotaloom.operators import relational as R
-from quotaloom.plans.generate import generated
+from quotaloom.plans.generate import _DRAWN_SQL, generated
 from quotaloom.plans.master import districts, provinces, with_views
 from quotaloom.plans.registry import query, table
 from quotaloom.sources import files
-from quotaloom.workspace import new_path
+from quotaloom.workspace import cut, new_path
 
 
 @query("roundtrip_master_csv", with_views("prov", "dist") + "SELECT 'provinces' AS table_name, province_id AS key, name_current AS name, popularity_tier::VARCHAR || is_municipality::VARCHAR AS rest FROM prov UNION ALL SELECT 'districts', district_id, name, coalesce(province_id, '') FROM dist")
@@ -36,12 +36,12 @@ def roundtrip_plan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_plan(spark, path)
 
 
-@query("roundtrip_samples_csv", "SELECT coalesce(sum(target_count), 0) > 0 AS planned FROM plan_small")
+@query("roundtrip_samples_csv", _DRAWN_SQL + "SELECT substr(sha1(cell || '|' || i), 1, 16) AS id, cell AS seed_cell, entity_id, 0 AS differing FROM pairs")
 def roundtrip_samples_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows come back."""
-    path = new_path(spark, "samples")
-    rows = generated(spark, sf_dir)
+    """The rows that come back, in all twenty columns, and how many of the written ones differ from them."""
+    path, names = new_path(spark, "samples"), files.schemas.SAMPLES.fieldNames()
+    rows = cut(generated(spark, sf_dir).select(*[F.coalesce(c, F.lit("")).alias(c) for c in names]), "samples-written")
     files.write_samples(rows, path)
-    back = files.read_samples(spark, path)
-    same = back.agg(F.count("*").alias("n"), F.countDistinct("id").alias("d"), F.count_if(F.col("text").isNull()).alias("e"))
-    return same.select(((F.col("n") > 0) & (F.col("n") == F.col("d")) & (F.col("e") == 0)).alias("planned"))
+    back = files.read_samples(spark, path).select(*[F.coalesce(c, F.lit("")).alias(c) for c in names])
+    differing = rows.exceptAll(back).unionAll(back.exceptAll(rows)).count()
+    return back.select("id", "seed_cell", "entity_id", F.lit(differing).cast("int").alias("differing"))

@@ -140,9 +140,14 @@ def readiness_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Spatial: the first two components of the embeddings are points, boxes and rings are fixed.
 BOXES = [("a", -1.0, -1.0, 0.0, 0.0), ("b", -0.2, -0.2, 0.3, 0.3), ("c", 0.0, -0.5, 1.0, 0.5), ("d", -0.5, 0.1, 0.5, 1.0)]
-RINGS = {"p": [(-0.3, -0.3), (0.3, -0.3), (0.3, 0.3), (-0.3, 0.3)], "q": [(0.0, 0.0), (0.4, 0.1), (0.1, 0.4)], "r": [(-0.4, 0.0), (0.0, -0.4), (0.0, 0.4)]}
+# Area p has a hole, and r an island; the ways of a border come in any order and direction.
+WAYS = {
+    "p": [[(-0.3, -0.3), (0.3, -0.3), (0.3, 0.3)], [(-0.3, -0.3), (-0.3, 0.3), (0.3, 0.3)], [(-0.05, -0.05), (0.05, -0.05), (0.05, 0.05), (-0.05, 0.05), (-0.05, -0.05)]],
+    "q": [[(0.0, 0.0), (0.4, 0.1), (0.1, 0.4), (0.0, 0.0)], [(0.5, 0.5), (0.6, 0.6)]],
+    "r": [[(0.0, 0.4), (-0.4, 0.0)], [(0.0, -0.4), (0.0, 0.4)], [(-0.4, 0.0), (0.0, -0.4)], [(0.35, -0.4), (0.45, -0.4), (0.4, -0.3), (0.35, -0.4)]],
+}
 _BOX_SQL = "boxes AS (SELECT * FROM (VALUES " + ", ".join(f"('{b[0]}', {b[1]}::DOUBLE, {b[2]}::DOUBLE, {b[3]}::DOUBLE, {b[4]}::DOUBLE)" for b in BOXES) + ") b(box, x0, y0, x1, y1))"
-_EDGES = [(k, *r[i], *r[(i + 1) % len(r)]) for k, r in RINGS.items() for i in range(len(r))]
+_EDGES = [(k, *w[i], *w[i + 1]) for k, ways in WAYS.items() for w in ways if w != [(0.5, 0.5), (0.6, 0.6)] for i in range(len(w) - 1)]
 _EDGE_SQL = "edges AS (SELECT * FROM (VALUES " + ", ".join(f"('{k}', {ax}::DOUBLE, {ay}::DOUBLE, {bx}::DOUBLE, {by}::DOUBLE)" for k, ax, ay, bx, by in _EDGES) + ") e(area, ax, ay, zx, zy))"
 _POINT_SQL = "pts AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, label FROM embeddings)"
 _IN_SQL = f"WITH {_POINT_SQL}, {_EDGE_SQL}, hits AS (SELECT vec_id, area FROM pts, edges WHERE (ay > y) <> (zy > y) AND x < (zx - ax) * (y - ay) / CASE WHEN zy <> ay THEN zy - ay END + ax GROUP BY vec_id, area HAVING count(*) % 2 = 1), located AS (SELECT vec_id, min(area) AS area FROM hits GROUP BY vec_id)"
@@ -154,7 +159,8 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _areas(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(RINGS.items()), "area string, ring array<struct<x:double,y:double>>")
+    ways = [(k, n, w) for k, ways in WAYS.items() for n, w in enumerate(ways)]
+    return S.stitch_rings(spark.createDataFrame(ways, "area string, way int, points array<struct<x:double,y:double>>"), "area")
 
 
 @query("nearest_region_join", f"WITH {_POINT_SQL}, {_BOX_SQL} SELECT vec_id, box FROM (SELECT vec_id, box, row_number() OVER (PARTITION BY vec_id ORDER BY round(pow(x - (x0 + x1) / 2, 2) + pow(y - (y0 + y1) / 2, 2), 12), box) AS rn FROM pts JOIN boxes ON x BETWEEN x0 AND x1 AND y BETWEEN y0 AND y1) WHERE rn = 1")
@@ -166,7 +172,7 @@ def nearest_region_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("point_in_polygon", _IN_SQL + " SELECT vec_id, area FROM located")
 def point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J8, N10."""
+    """Areas are stitched from ways, with a hole and an island."""
     return S.locate(_points(spark, sf_dir), _areas(spark), "vec_id", "area", 0.25)
 
 

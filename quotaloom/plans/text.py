@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from quotaloom.functions import names as N
 from quotaloom.functions import numbers as D
 from quotaloom.functions import templates as T
-from quotaloom.plans.master import entities, provinces, samples, wards, with_views
+from quotaloom.operators import relational as R
+from quotaloom.plans.master import SUBCATEGORIES, entities, provinces, samples, wards, with_views
 from quotaloom.plans.registry import query, table
 from quotaloom.workspace import spread_small
 
@@ -208,13 +209,60 @@ def head_tail_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates(spark).select("template_id", T.tail_class(t, QUESTION_WORDS, PARTICLES).alias("tail"), T.head_class(t, STATEMENTS).alias("head"), T.starts_with_ask(t).alias("asks"), t.contains("giúp").alias("helps"))
 
 
-@query("slot_validation_issues", "SELECT * FROM (VALUES ('bad_digit_001', 'no_digits'), ('bad_abbreviation_001', 'no_abbreviation,no_proper_noun'), ('bad_slots_001', 'slots_match'), ('bad_unknown_001', 'slots_allowed'), "
-       "('bad_missing_001', 'has_entity'), ('bad_proper_001', 'no_proper_noun'), ('bad_spacing_001', 'spacing'), ('bad_quantifier_001', 'no_common_noun'), ('bad_nearest_001', 'no_common_noun'), "
-       "('bad_classifier_001', 'no_bare_classifier')) t(template_id, issues)")
+# Tables of templates come with bad ids and bad values too.
+BAD_ROWS = [("search_neutral_short_001", "search", "neutral", "short", "entity", "ra {entity}"), ("", "search", "neutral", "short", "entity", "ra {entity}"), ("bad_enum_001", "greeting", "loud", "tiny", "entity", "ra {entity}")]
+_ABBREVIATIONS_SQL = "(^|[^\\p{L}\\p{N}_])(TP|Q\\.|P\\.|H\\.|BV|TTTM|QL|TL)($|[^\\p{L}\\p{N}_])"
+_RULES_SQL = {
+    "has_id": "template_id = ''", "known_sentence_type": f"sentence_type NOT IN {_in(T.SENTENCE_TYPES)}", "known_register": f"register NOT IN {_in(T.REGISTERS)}",
+    "known_length_class": f"length_class NOT IN {_in(T.LENGTH_CLASSES)}",
+    "slots_match": "list_sort(list_distinct(string_split(slots, ','))) <> list_sort(list_distinct(regexp_extract_all(text, '\\{([a-zA-Z_]+)\\}', 1)))",
+    "slots_allowed": "len(list_filter(string_split(slots, ','), lambda s: s NOT IN ('opener', 'entity', 'closer', 'category_noun'))) > 0",
+    "has_entity": "NOT contains(text, '{entity}')", "no_digits": "regexp_matches(text, '[0-9]')", "no_abbreviation": f"regexp_matches(text, '{_ABBREVIATIONS_SQL}')",
+    "no_proper_noun": "len(list_filter(list_transform(string_split(text, ' ')[2:], lambda w: trim(regexp_replace(w, '\\{[a-zA-Z_]+\\}', '', 'g'), ',.!?;:()')), lambda w: regexp_matches(w, '^\\p{Lu}') AND w <> 'An')) > 0",
+    "spacing": "text <> trim(text) OR contains(text, '  ') OR regexp_matches(text, '\\s\\{(opener|closer)\\}|\\{(opener|closer)\\}\\s')",
+    "no_common_noun": "regexp_matches(text, '\\{entity\\}\\s+nào($|[^\\p{L}])') OR regexp_matches(text, '(^|[^\\p{L}])(một|các|những|mấy|vài|cái)\\s+\\{entity\\}') OR regexp_matches(text, '\\{entity\\}[^{}]{0,20}?[^\\p{L}]gần(\\s+đây)?\\s+nhất')",
+    "no_bare_classifier": "regexp_matches(text, '(^|[^\\p{L}])(đường|lối|hướng|phố)\\s+\\{entity\\}')",
+}
+_BAD_SQL = "bank2 AS (SELECT * FROM bank UNION ALL SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(f"'{x}'" for x in t) + ")" for t in BAD_ROWS) + ") t)"
+
+
+@query("slot_validation_issues", f"WITH {TEMPLATES_SQL}, {_BAD_SQL} " + " UNION ALL ".join(f"SELECT template_id, '{rule}' AS rule FROM bank2 WHERE {test}" for rule, test in _RULES_SQL.items())
+       + " UNION ALL SELECT template_id, 'unique_id' FROM bank2 WHERE template_id <> '' GROUP BY 1 HAVING count(*) > 1")
 def slot_validation_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every broken rule of every template at once."""
-    t = templates(spark).withColumn("i", T.template_issues(F.col("template_id"), F.split("slots", ","), F.col("text"), ["An"]))
-    return t.filter(F.size("i") > 0).select("template_id", F.array_join("i", ",").alias("issues"))
+    t = spark.createDataFrame([*TEMPLATES, *BAD_ROWS], TEMPLATE_COLUMNS).withColumn("slots", F.split("slots", ","))
+    return T.table_issues(t, ["An"])
+
+
+@query("entry_issues", with_views("ent") + """
+SELECT 'alias' AS kind, row_id::VARCHAR AS entry, 'no_name' AS rule FROM province_alias WHERE trim(coalesce(alias, '')) = ''
+UNION ALL SELECT 'alias', row_id::VARCHAR, 'unknown_type' FROM province_alias WHERE coalesce(alias_type, '') NOT IN ('legacy', 'spoken', 'abbrev_expanded')
+UNION ALL SELECT 'alias', row_id::VARCHAR, 'unknown_prefix' FROM province_alias WHERE coalesce(admin_prefix, '?') NOT IN ('', 'tỉnh', 'thành phố')
+UNION ALL SELECT 'alias', lower(alias), 'legacy_of_several' FROM province_alias WHERE alias_type = 'legacy' AND trim(province_id, ' ' || chr(9)) <> '' GROUP BY 2 HAVING count(DISTINCT trim(province_id, ' ' || chr(9))) > 1
+UNION ALL SELECT 'landmark', entity_id, 'unknown_subcategory' FROM ent WHERE category = 'landmark' AND coalesce(subcategory, '') NOT IN """ + _in(SUBCATEGORIES["landmark"]) + """
+UNION ALL SELECT 'landmark', entity_id, 'no_name' FROM ent WHERE category = 'landmark' AND trim(coalesce(entity, '')) = ''
+UNION ALL SELECT 'ward', row_id::VARCHAR, 'no_parent' FROM wards WHERE trim(coalesce(district_id, ''), ' ' || chr(9)) = '' AND trim(coalesce(province_id, ''), ' ' || chr(9)) = ''""")
+def entry_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1, V2: every broken rule of alias, landmark and ward entries: names, types and prefixes, a legacy alias of several provinces,
+    subcategories outside the taxonomy, wards without any parent."""
+    a, w = table(spark, sf_dir, "province_alias"), table(spark, sf_dir, "wards")
+    e = entities(spark, sf_dir, "category", "subcategory", "entity").filter("category = 'landmark'")
+
+    def issues(df: DataFrame, kind: str, key, broken, rule: str) -> DataFrame:
+        return df.filter(broken).select(F.lit(kind).alias("kind"), key.cast("string").alias("entry"), F.lit(rule).alias("rule"))
+
+    key = R.key_text(F.col("province_id"))
+    several = a.filter((F.col("alias_type") == "legacy") & key.isNotNull()).groupBy(F.lower("alias").alias("entry")).agg(F.countDistinct(key).alias("n"))
+    none = R.key_text(F.coalesce("district_id", F.lit(""))).isNull() & R.key_text(F.coalesce("province_id", F.lit(""))).isNull()
+    return R.union_all(
+        issues(a, "alias", F.col("row_id"), F.trim(F.coalesce("alias", F.lit(""))) == "", "no_name"),
+        issues(a, "alias", F.col("row_id"), ~F.coalesce("alias_type", F.lit("")).isin("legacy", "spoken", "abbrev_expanded"), "unknown_type"),
+        issues(a, "alias", F.col("row_id"), ~F.coalesce("admin_prefix", F.lit("?")).isin("", "tỉnh", "thành phố"), "unknown_prefix"),
+        issues(several, "alias", F.col("entry"), F.col("n") > 1, "legacy_of_several"),
+        issues(e, "landmark", F.col("entity_id"), ~F.coalesce("subcategory", F.lit("")).isin(SUBCATEGORIES["landmark"]), "unknown_subcategory"),
+        issues(e, "landmark", F.col("entity_id"), F.trim(F.coalesce("entity", F.lit(""))) == "", "no_name"),
+        issues(w, "ward", F.col("row_id"), none, "no_parent"),
+    )
 
 
 @query("skeleton_length_stats", f"""WITH {TEMPLATES_SQL}, l AS (SELECT length_class, length(trim(regexp_replace(text, '\\{{[a-zA-Z_]+\\}}', '', 'g'))) AS n FROM bank)

@@ -101,6 +101,24 @@ def lexicon_words(spark: SparkSession, lexicon: dict) -> DataFrame:
     return spark.createDataFrame(rows, "slot string, register string, text string, heads array<string>")
 
 
+def landmarks(spark: SparkSession, doc: dict[str, list[dict]]) -> DataFrame:
+    """(province_id, name, subcategory, fame_tier, hint) of a file of landmarks by province; ``entry_issues`` tells bad entries."""
+    rows = [(p, e.get("name"), e.get("subcategory"), e.get("fame_tier"), e.get("legacy_alias_hint")) for p, entries in doc.items() for e in entries or []]
+    return spark.createDataFrame(rows, "province_id string, name string, subcategory string, fame_tier int, hint string")
+
+
+def province_aliases(spark: SparkSession, doc: list[dict]) -> DataFrame:
+    """(province_id, alias_type, alias, admin_prefix, weight) of a file of provinces, one row per alias of its three lists."""
+    kinds = {"legacy_names": "legacy", "spoken_aliases": "spoken", "abbreviations": "abbrev_expanded"}
+    rows = [(p["province_id"], kind, a.get("name"), a.get("admin_prefix"), 1.0) for p in doc for key, kind in kinds.items() for a in p.get(key) or []]
+    return spark.createDataFrame(rows, "province_id string, alias_type string, alias string, admin_prefix string, weight double")
+
+
+def ward_union(curated: DataFrame, extracted: DataFrame) -> DataFrame:
+    """Wards of both sources; columns that one lacks are null."""
+    return curated.unionByName(extracted, allowMissingColumns=True)
+
+
 def read_plan(spark: SparkSession, path: str) -> DataFrame:
     """The cells of a plan document."""
     docs = spark.read.schema(schemas.PLAN).option("multiLine", True).option("mode", "FAILFAST").json(path)
@@ -136,8 +154,10 @@ def _replace(jobs: dict, spark: SparkSession) -> None:
 
 
 def write_samples(df: DataFrame, path: str) -> None:
-    """K3: sample files in the fixed column order, as many files as partitions."""
-    cols = [F.coalesce(F.col(f.name).cast("string"), F.lit("")).alias(f.name) for f in schemas.SAMPLES if f.name in df.columns]
+    """K3: sample files in the fixed column order, as many files as partitions; all columns must be there."""
+    if missing := [f.name for f in schemas.SAMPLES if f.name not in df.columns]:
+        raise ValueError(f"samples lack the columns {missing}")
+    cols = [F.coalesce(F.col(f.name).cast("string"), F.lit("")).alias(f.name) for f in schemas.SAMPLES]
     _replace({path: df.select(*cols).write.mode("overwrite").option("header", True).option("emptyValue", "").option("escape", '"').csv}, df.sparkSession)
 
 
@@ -146,19 +166,24 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, schemas.SAMPLES)
 
 
-def find_samples(folder: str, names: tuple[str, ...] = ("final", "clean", "candidates", "prototype")) -> str | None:
-    """In the newest run folder that has samples, the file that comes first in ``names``."""
-    for run in sorted((p for p in Path(folder).iterdir() if p.is_dir()), key=lambda p: (p.stat().st_mtime, p.name), reverse=True):
+def find_samples(spark: SparkSession, folder: str, names: tuple[str, ...] = ("final", "clean", "candidates", "prototype")) -> str | None:
+    """In the newest run folder that has samples, the file that comes first in ``names``; on any Hadoop file system."""
+    fs, path = _fs(spark, folder)
+    runs = [f for f in fs.listStatus(path) if f.isDirectory()]
+    for run in sorted(runs, key=lambda f: (f.getModificationTime(), f.getPath().getName()), reverse=True):
         for n in names:
-            if (run / f"{n}.csv").exists():
-                return str(run / f"{n}.csv")
+            if exists(spark, f := f"{folder}/{run.getPath().getName()}/{n}.csv"):
+                return f
     return None
 
 
-def manifest(samples: DataFrame, seed: int, inputs: list[str]) -> dict:
-    """K4: seed, digest of the inputs, rows per cell; cells are bounded by the plan."""
-    counts = {r[0]: r[1] for r in samples.groupBy("seed_cell").count().orderBy("seed_cell").collect()}
-    return {"seed": seed, "inputs": content_digest(inputs), "cells": counts, "total": sum(counts.values())}
+def manifest(samples: DataFrame, seed: int, inputs: list[str], configs: list[str] = (), code_version: str = "", at: str = "", max_cells: int = 1_000_000) -> dict:
+    """K4: seed, digests of inputs and configuration, code version, time, rows per cell; the number of cells is checked."""
+    rows = samples.groupBy("seed_cell").count().orderBy("seed_cell").limit(max_cells + 1).collect()
+    if len(rows) > max_cells:
+        raise ValueError("more cells than a manifest holds")
+    counts = {r[0]: r[1] for r in rows}
+    return {"seed": seed, "inputs": content_digest(inputs), "configs": content_digest(configs), "code_version": code_version, "at": at, "cells": counts, "total": sum(counts.values())}
 
 
 def content_digest(paths: list[str]) -> str:

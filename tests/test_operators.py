@@ -100,10 +100,45 @@ def test_exact_dedup_with_nulls(spark):
 def test_rings(spark):
     ring = "array(named_struct('x',0D,'y',0D),named_struct('x',4D,'y',0D),named_struct('x',4D,'y',4D),named_struct('x',2D,'y',1D),named_struct('x',0D,'y',4D))"
     df = spark.createDataFrame([(1, 1.0, 1.0), (2, 2.0, 3.0), (3, 5.0, 1.0), (4, 3.5, 3.0)], "id int, x double, y double")
-    areas = spark.sql(f"select 'a' as area, {ring} as ring")
+    areas = spark.sql(f"select 'a' as area, array({ring}) as rings")
     assert sorted(r.id for r in spatial.locate(df, areas, "id", "area", 1.5).collect()) == [1, 4]
 
 
+def test_stitched_rings(spark):
+    ways = [("a", 2, [(4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]), ("a", 1, [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0)]), ("a", 3, [(1.0, 1.0), (2.0, 1.0), (2.0, 2.0), (1.0, 1.0)]), ("a", 4, [(9.0, 9.0), (8.0, 8.0)]), ("b", 1, [(0.0, 0.0), (1.0, 1.0), (0.0, 0.0)])]
+    got = spatial.stitch_rings(spark.createDataFrame(ways, "area string, way int, points array<struct<x:double,y:double>>"), "area").collect()
+    assert [(r.area, sorted(len(x) for x in r.rings)) for r in got] == [("a", [4, 5])]
+    points = spark.createDataFrame([(1, 3.0, 3.0), (2, 1.8, 1.2), (3, 5.0, 5.0)], "id int, x double, y double")
+    areas = spatial.stitch_rings(spark.createDataFrame(ways, "area string, way int, points array<struct<x:double,y:double>>"), "area")
+    assert [r.id for r in spatial.locate(points, areas, "id", "area", 1.5).collect()] == [1]
+
+
+def test_nearest_box_of_those_where_a_point_occurs(spark):
+    boxes = spark.createDataFrame([("a", 0.0, 0.0, 2.0, 2.0), ("b", 1.0, 1.0, 4.0, 4.0)], "box string, x0 double, y0 double, x1 double, y1 double")
+    points = spark.createDataFrame([(1, 1.2, 1.2), (2, 1.2, 1.2), (3, 9.0, 9.0), (4, 9.0, 9.0)], "id int, x double, y double")
+    occurs = spark.createDataFrame([(2, "b"), (3, "a"), (3, "b")], "id int, box string")
+    assert {r.id: r.box for r in spatial.nearest_box(points, boxes, "id", "box", 1.0, occurs).collect()} == {1: "a", 2: "b", 3: "b"}
+
+
+def test_samples_need_all_columns(spark, tmp_path):
+    with pytest.raises(ValueError):
+        files.write_samples(spark.createDataFrame([("a",)], "id string"), str(tmp_path / "s"))
+
+
+def test_sources_of_aliases_and_landmarks(spark):
+    doc = [{"province_id": "01", "legacy_names": [{"name": "A", "admin_prefix": ""}], "spoken_aliases": [{"name": "B", "admin_prefix": "tỉnh"}]}, {"province_id": "02"}]
+    assert {(r.province_id, r.alias_type, r.alias, r.weight) for r in files.province_aliases(spark, doc).collect()} == {("01", "legacy", "A", 1.0), ("01", "spoken", "B", 1.0)}
+    assert [(r.province_id, r.name, r.fame_tier) for r in files.landmarks(spark, {"01": [{"name": "X", "subcategory": "lake", "fame_tier": 1}], "02": None}).collect()] == [("01", "X", 1)]
+
+
+def test_final_quotas(spark):
+    cells = spark.createDataFrame([("a", 1.0, 100), ("b", 5.0, 100), ("c", 1.0, 3)], "k string, weight double, observed long")
+    got = dict(quota.final_quotas(cells, ["k"], 60, 5, 0.5))
+    assert got == {"a": 27, "b": 30, "c": 3} and sum(got.values()) == 60
+    assert dict(quota.final_quotas(cells, ["k"], 500, 5, 1.0)) == {"a": 100, "b": 100, "c": 3}
+    assert sum(n for _, n in quota.final_quotas(cells, ["k"], 4, 5, 1.0)) == 4
+
+
 def test_snapshot_files(spark, tmp_path):
     doc = {"province_id": "01", "bbox": [0.0, 0.0, 1.0, 1.0], "elements": [{"type": "node", "id": 7, "lat": 0.5, "lon": 0.6, "tags": {"name": "A"}}, {"type": "way", "id": 8, "center": {"lat": 0.1, "lon": 0.2}, "tags": {"highway": "primary"}}]}
     (tmp_path / "01.json").write_text(json.dumps(doc))
@@ -125,9 +160,9 @@ def test_config_tables(spark, tmp_path):
         (tmp_path / n).write_text(n)
     assert files.content_digest([str(tmp_path / "a"), str(tmp_path / "b")]) == files.content_digest([str(tmp_path / "b"), str(tmp_path / "a")])
     (tmp_path / "run1").mkdir()
-    assert files.find_samples(str(tmp_path)) is None
+    assert files.find_samples(spark, str(tmp_path)) is None
     (tmp_path / "run1" / "clean.csv").write_text("id\n")
-    assert files.find_samples(str(tmp_path)).endswith("clean.csv")
+    assert files.find_samples(spark, str(tmp_path)).endswith("clean.csv")
 
 
 def test_stream_equals_batch(spark, tmp_path):
