@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotaloom.functions.names import ACCENTED
 from quotaloom.operators import quality as Y
 from quotaloom.operators import relational as R
 from quotaloom.operators import spatial as S
-from quotaloom.plans.master import aliases, entities, provinces, samples, wards, with_views
+from quotaloom.plans.master import aliases, districts, entities, provinces, samples, wards, with_views
 from quotaloom.plans.registry import query, table
+from quotaloom.workspace import cut
 
 _CLASS_SQL = "CASE WHEN template_id LIKE '%short%' THEN 'short' WHEN template_id LIKE '%long%' THEN 'long' ELSE 'medium' END"
 _RULES_SQL = f"""x AS (SELECT id, text, lower(text) AS l, {_CLASS_SQL} AS lc FROM samp WHERE text IS NOT NULL),
@@ -122,17 +123,43 @@ def raw_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.union_all(*[one(t) for t in ("provinces", "districts", "wards", "province_alias", "generate_small")])
 
 
-@query("readiness_rollup", with_views("prov", "ent", "samp") + """, checks AS (
+@query("readiness_rollup", with_views("prov", "ent", "samp", "dist", "ward", "alias") + """, wp AS (SELECT ward_id, CASE WHEN dist.district_id IS NOT NULL THEN dist.province_id ELSE ward.province_id END AS p FROM ward LEFT JOIN dist ON dist.district_id = ward.district_id),
+checks AS (
 SELECT 'provinces' AS name, CASE WHEN count(*) >= 34 THEN 'ok' ELSE 'fail' END AS verdict FROM prov
+UNION ALL SELECT 'aliases', CASE WHEN (SELECT count(*) FROM prov WHERE admin_status = 'merged' AND province_id NOT IN (SELECT province_id FROM alias WHERE alias_type = 'legacy' AND province_id IS NOT NULL)) = 0 THEN 'ok' ELSE 'warn' END
+UNION ALL SELECT 'districts', CASE WHEN count(*) = count(CASE WHEN province_id IN (SELECT province_id FROM prov) THEN 1 END) THEN 'ok' ELSE 'warn' END FROM dist
+UNION ALL SELECT 'wards', CASE WHEN count(*) = count(CASE WHEN p IN (SELECT province_id FROM prov) THEN 1 END) THEN 'ok' ELSE 'warn' END FROM wp
 UNION ALL SELECT 'entities', CASE WHEN min(n) >= 20 THEN 'ok' ELSE 'warn' END FROM (SELECT province, count(*) AS n FROM ent GROUP BY province)
+UNION ALL SELECT 'landmarks', CASE WHEN (SELECT count(*) FROM prov WHERE name_current NOT IN (SELECT province FROM ent WHERE category = 'landmark' AND province IS NOT NULL)) = 0 THEN 'ok' ELSE 'warn' END
+UNION ALL SELECT 'plan', CASE WHEN coalesce(sum(target_count), 0) = 0 THEN 'fail' WHEN count(*) > count(target_count) THEN 'warn' ELSE 'ok' END FROM (SELECT DISTINCT * FROM plan_small)
 UNION ALL SELECT 'texts', CASE WHEN count(*) - count(text) = 0 THEN 'ok' ELSE 'warn' END FROM samp)
 SELECT * FROM checks UNION ALL SELECT 'overall', CASE max(CASE verdict WHEN 'ok' THEN 0 WHEN 'warn' THEN 1 ELSE 2 END) WHEN 0 THEN 'ok' WHEN 1 THEN 'warn' ELSE 'fail' END FROM checks""")
 def readiness_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checks and the worst of them."""
-    p = provinces(spark, sf_dir).agg(F.when(F.count("*") >= 34, "ok").otherwise("fail").alias("verdict")).select(F.lit("provinces").alias("name"), "verdict")
-    e = entities(spark, sf_dir, "province").groupBy("province").count().agg(F.when(F.min("count") >= 20, "ok").otherwise("warn").alias("verdict")).select(F.lit("entities").alias("name"), "verdict")
-    t = samples(spark, sf_dir, "text").agg(F.when(F.count("*") == F.count("text"), "ok").otherwise("warn").alias("verdict")).select(F.lit("texts").alias("name"), "verdict")
-    checks = R.union_all(p, e, t)
+    """Eight checks, and the worst of them."""
+    prov = provinces(spark, sf_dir).select("province_id", "name_current", "admin_status")
+    known = prov.select("province_id").withColumn("_in", F.lit(True))
+
+    def check(df: DataFrame, name: str, *cases) -> DataFrame:
+        verdict = F.lit("ok")
+        for broken, grade in reversed(cases):
+            verdict = F.when(broken, grade).otherwise(verdict)
+        return df.agg(verdict.alias("verdict")).select(F.lit(name).alias("name"), "verdict")
+
+    legacy = aliases(spark, sf_dir).filter("alias_type = 'legacy'").select("province_id")
+    d = districts(spark, sf_dir, "province_id")
+    w = wards(spark, sf_dir, "district_id", "province_id").join(d.select("district_id", F.col("province_id").alias("_p"), F.lit(True).alias("_d")), "district_id", "left")
+    w = w.select(F.when(F.coalesce("_d", F.lit(False)), F.col("_p")).otherwise(F.col("province_id")).alias("province_id"))
+    e = cut(entities(spark, sf_dir, "province", "category"), "entities")
+    landmarks = e.filter("category = 'landmark'").select(F.col("province").alias("name_current"))
+    checks = R.union_all(
+        check(prov, "provinces", (F.count("*") < 34, "fail")),
+        check(prov.filter("admin_status = 'merged'").join(legacy, "province_id", "left_anti"), "aliases", (F.count("*") > 0, "warn")),
+        check(d.join(known, "province_id", "left"), "districts", (F.count("*") > F.count("_in"), "warn")), check(w.join(known, "province_id", "left"), "wards", (F.count("*") > F.count("_in"), "warn")),
+        check(e.groupBy("province").count(), "entities", (F.min("count") < 20, "warn")), check(prov.join(landmarks, "name_current", "left_anti"), "landmarks", (F.count("*") > 0, "warn")),
+        check(table(spark, sf_dir, "plan_small").distinct(), "plan", (F.coalesce(F.sum("target_count"), F.lit(0)) == 0, "fail"), (F.count("*") > F.count("target_count"), "warn")),
+        check(samples(spark, sf_dir, "text"), "texts", (F.count("*") > F.count("text"), "warn")),
+    )
+    checks = cut(checks, "checks")
     grade = F.when(F.col("verdict") == "ok", 0).when(F.col("verdict") == "warn", 1).otherwise(2)
     worst = checks.agg(F.element_at(F.array(F.lit("ok"), F.lit("warn"), F.lit("fail")), F.max(grade) + 1).alias("verdict"))
     return checks.unionByName(worst.select(F.lit("overall").alias("name"), "verdict"))
@@ -229,4 +256,4 @@ def ward_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def category_share_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, shares of the whole, and pages of 25."""
     c = entities(spark, sf_dir, "category").groupBy(F.coalesce("category", F.lit("")).alias("category")).agg(F.count("*").alias("n"))
-    return c.select("category", "n", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy(F.lit(0))), 1).alias("percent"), F.ceil(F.col("n") / 25).alias("pages"))
+    return c.select("category", "n", F.round(F.col("n") * 100.0 / c.agg(F.sum("n")).scalar(), 1).alias("percent"), F.ceil(F.col("n") / 25).alias("pages"))

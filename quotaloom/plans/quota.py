@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quotaloom.functions.draws import cell_key, cell_seed, race_key, sample_id, uniform, uniform_sql, weighted_pick
 from quotaloom.operators import quota as Q
 from quotaloom.operators import relational as R
+from quotaloom.operators.generate import Style
 from quotaloom.plans.master import entities, province_weight, provinces, samples, with_views
 from quotaloom.plans.registry import query, table
 
@@ -303,38 +304,111 @@ def marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.marginals(samples(spark, sf_dir, *axes), axes)
 
 
-@query("option_space_product", "SELECT register, (a * b * c * d)::BIGINT AS options FROM (VALUES ('formal', 5, 5, 1, 4), ('neutral', 5, 5, 3, 4), ('casual', 6, 5, 7, 4)) t(register, a, b, c, d)")
+def _lexicon() -> list[tuple[str, str, float, str]]:
+    """(slot, register, rate, word) of the default style; a slot without words has one row with an empty word."""
+    style = Style()
+    rows = []
+    for slot, content in (("opener", style.openers), ("closer", style.closers), ("filler", style.fillers)):
+        for register, (rate, words) in content.items():
+            rows += [(slot, register, float(rate), w[0] if isinstance(w, tuple) else w) for w in words] or [(slot, register, float(rate), "")]
+    return rows + [("noun", r, 1.0, w) for r in ("formal", "neutral", "casual") for w in style.nouns]
+
+
+def _axis_rows() -> list[tuple[str, str, str, float]]:
+    """(axis, key, value, weight) of the default style."""
+    style = Style()
+    return [(axis, key, value, float(w)) for axis in ("depth", "variant", "number", "prefix") for key, options in getattr(style, axis).items() for value, w in options]
+
+
+def _rows_sql(rows: list[tuple], columns: str) -> str:
+    quoted = ("'" + x + "'" if isinstance(x, str) else f"{x!r}::DOUBLE" for r in rows for x in r)
+    width = len(rows[0])
+    cells = list(quoted)
+    return "(SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(cells[i : i + width]) + ")" for i in range(0, len(cells), width)) + f") v({columns}))"
+
+
+_SPACE_SQL = f"""lex AS {_rows_sql(_lexicon(), "slot, register, rate, word")}, ax AS {_rows_sql(_axis_rows(), "axis, key, value, weight")},
+w AS (SELECT register, slot, sum((word <> '')::INT) + max((rate < 1)::INT) AS n FROM lex GROUP BY ALL), l AS (SELECT axis, count(*) AS n FROM ax WHERE key = 'default' AND weight > 0 GROUP BY 1),
+t AS (SELECT register, count(DISTINCT template_id) AS n FROM generate_small WHERE id IS NOT NULL AND register IN ('formal', 'neutral', 'casual') GROUP BY 1),
+sp AS (SELECT register, (product(w.n) * (SELECT product(n) FROM l) * max(coalesce(t.n, 0)))::BIGINT AS options FROM w LEFT JOIN t USING (register) GROUP BY register)"""
+
+
+def _option_space(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lex = spark.createDataFrame(_lexicon(), "slot string, register string, rate double, word string")
+    ax = spark.createDataFrame(_axis_rows(), "axis string, key string, value string, weight double")
+    words = lex.groupBy("register", "slot").agg((F.count_if(F.col("word") != "") + F.max((F.col("rate") < 1).cast("int"))).alias("n"))
+    live = ax.filter("key = 'default' and weight > 0").groupBy("axis").agg(F.count("*").alias("n")).select(F.explode(F.array(*[F.lit(r) for r in ("formal", "neutral", "casual")])).alias("register"), F.col("axis").alias("slot"), "n")
+    known = table(spark, sf_dir, "generate_small").filter("id is not null and register in ('formal', 'neutral', 'casual')")
+    templates = known.select("register", "template_id").filter("template_id is not null").distinct().groupBy("register").agg(F.count("*").alias("n")).select("register", F.lit("template").alias("slot"), "n")
+    zero = words.select("register").distinct().join(templates.select("register"), "register", "left_anti").select("register", F.lit("template").alias("slot"), F.lit(0).cast("long").alias("n"))
+    counts = R.union_all(words.select("register", "slot", F.col("n").cast("long")), live.select("register", "slot", F.col("n").cast("long")), templates, zero)
+    return counts.groupBy("register").agg(F.aggregate(F.collect_list("n"), F.lit(1).cast("long"), lambda a, x: a * x).alias("options"))
+
+
+@query("option_space_product", f"WITH {_SPACE_SQL} SELECT register, options FROM sp")
 def option_space_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact integer products."""
-    rows = [("formal", [5, 5, 1, 4]), ("neutral", [5, 5, 3, 4]), ("casual", [6, 5, 7, 4])]
-    t = spark.createDataFrame(rows, "register string, counts array<long>")
-    return t.select("register", F.aggregate("counts", F.lit(1).cast("long"), lambda a, x: a * x).alias("options"))
+    """Per register the exact product of its templates, the words of its slots (and leaving a slot empty) and the live values of its axes."""
+    return _option_space(spark, sf_dir)
 
 
-@query("weight_warnings", f"SELECT level, key, value, 'dead_value' AS issue FROM {_AXIS_SQL} WHERE weight < 0.2 UNION ALL SELECT level, key, '', 'not_normalised' FROM {_AXIS_SQL} GROUP BY level, key HAVING abs(sum(weight) - 1) > 1e-6")
+CANDIDATES = 1.3  # fixed value: candidates per wanted row
+
+
+@query("weight_warnings", f"""WITH {_SPACE_SQL}, want AS (SELECT split_part(variation_profile, '_', 1) AS register, sum(target_count) * {CANDIDATES} AS n FROM (SELECT DISTINCT * FROM plan_small) GROUP BY 1)
+SELECT axis AS item, key, value, 'dead_value' AS issue FROM ax WHERE weight <= 0.05 UNION ALL SELECT axis, key, '', 'not_normalised' FROM ax GROUP BY axis, key HAVING abs(sum(weight) - 1) > 1e-6
+UNION ALL SELECT DISTINCT axis, key, '', 'unknown_key' FROM ax WHERE key NOT IN ('default', 'formal', 'neutral', 'casual', 'admin_unit', 'address') UNION ALL SELECT axis, key, value, 'bad_weight' FROM ax WHERE weight < 0 OR weight > 1
+UNION ALL SELECT axis, key, value, 'missing_value' FROM (SELECT DISTINCT axis, value FROM ax WHERE key = 'default') JOIN (SELECT DISTINCT axis, key FROM ax) USING (axis) WHERE NOT EXISTS (SELECT 1 FROM ax y WHERE (y.axis, y.key, y.value) = (axis, key, value))
+UNION ALL SELECT slot, register, '', 'bad_rate' FROM lex WHERE rate < 0 OR rate > 1 UNION ALL SELECT slot, register, '', 'empty_lexicon_pool' FROM lex GROUP BY ALL HAVING sum((word <> '')::INT) = 0
+UNION ALL SELECT 'options', register, '', 'space_below_candidates' FROM sp JOIN want USING (register) WHERE options < n""".replace("(y.axis, y.key, y.value) = (axis, key, value)", "y.axis = x.axis AND y.key = x.key AND y.value = x.value").replace("(SELECT DISTINCT axis, value FROM ax WHERE key = 'default') JOIN (SELECT DISTINCT axis, key FROM ax) USING (axis) WHERE", "(SELECT * FROM (SELECT DISTINCT axis, value FROM ax WHERE key = 'default') JOIN (SELECT DISTINCT axis, key FROM ax) USING (axis)) x WHERE"))
 def weight_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All issues of a table of weights."""
-    w = spark.createDataFrame(AXIS_WEIGHTS, "level string, key string, value string, weight double")
-    dead = w.filter("weight < 0.2").select("level", "key", "value", F.lit("dead_value").alias("issue"))
-    sums = w.groupBy("level", "key").agg(F.sum("weight").alias("s")).filter(F.abs(F.col("s") - 1) > 1e-6)
-    return dead.unionByName(sums.select("level", "key", F.lit("").alias("value"), F.lit("not_normalised").alias("issue")))
+    """All issues of the style at once: values hardly ever drawn, sums, signs, keys, values that a key leaves out, rates, slots
+    without words, and registers whose options are fewer than the candidates the plan wants."""
+    ax = spark.createDataFrame(_axis_rows(), "item string, key string, value string, weight double")
+    lex = spark.createDataFrame(_lexicon(), "item string, key string, rate double, word string")
+
+    def issue(df: DataFrame, name: str, value=F.lit("")) -> DataFrame:
+        return df.select("item", "key", value.alias("value"), F.lit(name).alias("issue"))
+
+    v = F.col("value")
+    sums = ax.groupBy("item", "key").agg(F.sum("weight").alias("s")).filter(F.abs(F.col("s") - 1) > 1e-6)
+    complete = ax.filter("key = 'default'").select("item", "value").join(ax.select("item", "key").distinct(), "item")
+    empty = lex.groupBy("item", "key").agg(F.count_if(F.col("word") != "").alias("n")).filter("n = 0")
+    plan = table(spark, sf_dir, "plan_small").distinct().groupBy(F.substring_index("variation_profile", "_", 1).alias("register")).agg((F.sum("target_count") * CANDIDATES).alias("want"))
+    few = _option_space(spark, sf_dir).join(plan, "register").filter("options < want").select(F.lit("options").alias("item"), F.col("register").alias("key"))
+    keys = ax.select("item", "key").distinct().filter(~F.col("key").isin("default", "formal", "neutral", "casual", "admin_unit", "address"))
+    return R.union_all(
+        issue(ax.filter("weight <= 0.05"), "dead_value", v), issue(sums, "not_normalised"), issue(keys, "unknown_key"), issue(ax.filter("weight < 0 or weight > 1"), "bad_weight", v),
+        issue(complete.join(ax.select("item", "key", "value"), ["item", "key", "value"], "left_anti"), "missing_value", v), issue(lex.filter("rate < 0 or rate > 1"), "bad_rate"),
+        issue(empty, "empty_lexicon_pool"), issue(few, "space_below_candidates"),
+    )
 
 
-@query("config_table_issues", """SELECT 'unknown_override' AS rule, k AS item FROM (VALUES ('02'), ('zz')) o(k) WHERE k NOT IN (SELECT province_id FROM provinces)
-UNION ALL SELECT 'infeasible_category', k FROM (VALUES ('street'), ('harbour')) c(k) WHERE k NOT IN (SELECT category FROM generate_small WHERE category IS NOT NULL)
-UNION ALL SELECT 'thin_cell', x.k || '|' || y.k FROM (VALUES ('search'), ('greeting')) x(k), (VALUES ('formal'), ('casual')) y(k)
- WHERE (SELECT count(DISTINCT template_id) FROM generate_small WHERE sentence_type = x.k AND register = y.k) < 10""")
+@query("config_table_issues", with_views("prov") + f""", o AS (SELECT * FROM {_rows_sql([(k, v) for k, v in PROVINCE_OVERRIDES.items()], "k, v")}), c AS {_rows_sql(list(CATEGORIES.items()), "k, v")}, s AS {_rows_sql(list(SENTENCE_TYPES.items()), "k, v")}, p AS {_rows_sql(list(PROFILES.items()), "k, v")}
+SELECT 'unknown_override' AS rule, k AS item FROM o WHERE k NOT IN (SELECT province_id FROM prov)
+UNION ALL SELECT 'infeasible_category', k FROM c WHERE k NOT IN (SELECT category FROM generate_small WHERE category IS NOT NULL)
+UNION ALL SELECT 'unknown_category', category FROM (SELECT DISTINCT category FROM plan_small WHERE category IS NOT NULL) WHERE category NOT IN (SELECT k FROM c)
+UNION ALL SELECT 'unknown_sentence_type', sentence_type FROM (SELECT DISTINCT sentence_type FROM plan_small WHERE sentence_type IS NOT NULL) WHERE sentence_type NOT IN (SELECT k FROM s)
+UNION ALL SELECT 'bad_weight', k FROM (SELECT * FROM c UNION ALL SELECT * FROM s UNION ALL SELECT * FROM p) WHERE v <= 0
+UNION ALL SELECT 'thin_cell', s.k || '|' || p.k FROM s, p WHERE (SELECT count(DISTINCT template_id) FROM generate_small g WHERE g.sentence_type = s.k AND contains(template_id, p.k)) < 10""")
 def config_table_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every issue of a configuration at once."""
-    def absent(rule: str, values: list[str], df: DataFrame, column: str) -> DataFrame:
-        v = spark.createDataFrame([(x,) for x in values], "item string")
-        return v.join(df.select(F.col(column).alias("item")).filter("item is not null").distinct(), "item", "left_anti").select(F.lit(rule).alias("rule"), "item")
-
+    """Every issue of the distribution against the tables at once; thin cells are those of all sentence types and
+    profiles with fewer than ten templates."""
     g = table(spark, sf_dir, "generate_small")
-    cells = R.grid(spark, sentence_type=["search", "greeting"], register=["formal", "casual"])
-    have = g.groupBy("sentence_type", "register").agg(F.countDistinct("template_id").alias("n"))
-    thin = cells.join(have, ["sentence_type", "register"], "left").filter(F.coalesce("n", F.lit(0)) < 10)
+
+    def absent(rule: str, values: DataFrame, known: DataFrame) -> DataFrame:
+        return values.toDF("item").filter("item is not null").distinct().join(known.toDF("item").filter("item is not null").distinct(), "item", "left_anti").select(F.lit(rule).alias("rule"), "item")
+
+    def names(d) -> DataFrame:
+        return spark.createDataFrame([(x,) for x in d], "item string")
+
+    plan = table(spark, sf_dir, "plan_small")
+    bad = [k for d in (CATEGORIES, SENTENCE_TYPES, PROFILES) for k, v in d.items() if v <= 0]
+    used = g.select("sentence_type", "template_id").filter("template_id is not null").distinct()
+    profile = F.explode(F.filter(F.array(*[F.lit(p) for p in PROFILES]), lambda p: F.contains("template_id", p)))
+    have = used.select("sentence_type", profile.alias("profile")).groupBy("sentence_type", "profile").agg(F.count("*").alias("n"))
+    thin = R.grid(spark, sentence_type=list(SENTENCE_TYPES), profile=list(PROFILES)).join(have, ["sentence_type", "profile"], "left").filter(F.coalesce("n", F.lit(0)) < 10)
     return R.union_all(
-        absent("unknown_override", ["02", "zz"], table(spark, sf_dir, "provinces"), "province_id"), absent("infeasible_category", ["street", "harbour"], g, "category"),
-        thin.select(F.lit("thin_cell").alias("rule"), F.concat_ws("|", "sentence_type", "register").alias("item")),
+        absent("unknown_override", names(PROVINCE_OVERRIDES), provinces(spark, sf_dir).select("province_id")), absent("infeasible_category", names(CATEGORIES), g.select("category")),
+        absent("unknown_category", plan.select("category"), names(CATEGORIES)), absent("unknown_sentence_type", plan.select("sentence_type"), names(SENTENCE_TYPES)),
+        names(bad).select(F.lit("bad_weight").alias("rule"), "item"), thin.select(F.lit("thin_cell").alias("rule"), F.concat_ws("|", "sentence_type", "profile").alias("item")),
     )

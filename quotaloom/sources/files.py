@@ -126,8 +126,10 @@ def read_plan(spark: SparkSession, path: str) -> DataFrame:
     return checked.select(F.explode("cells").alias("c")).select("c.*")
 
 
-def write_plan(cells: DataFrame, path: str, run_id: str, seed: int) -> None:
-    """K2: one JSON document; a plan is a product of small axes, so it is one task's work."""
+def write_plan(cells: DataFrame, path: str, run_id: str, seed: int, max_cells: int = 1_000_000) -> None:
+    """K2: one JSON document, so one task's work; a plan is a product of small axes, which is checked."""
+    if cells.limit(max_cells + 1).count() > max_cells:
+        raise ValueError("more cells than one plan document holds")
     doc = cells.agg(F.sum("target_count").cast("long").alias("total"), F.array_sort(F.collect_list(F.struct("province_id", "category", "sentence_type", "variation_profile", "target_count"))).alias("cells"))
     doc = doc.select(F.lit(schemas.PLAN_VERSION).alias("schema_version"), F.lit(run_id).alias("run_id"), "total", F.lit(seed).cast("long").alias("global_seed"), "cells")
     _replace({path: doc.coalesce(1).write.mode("overwrite").json}, cells.sparkSession)
