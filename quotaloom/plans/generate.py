@@ -215,6 +215,7 @@ def _strata(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(records with category and tier of their province, cells with observed rows and quota)."""
     p = provinces(spark, sf_dir).select(F.col("name_current").alias("province"), F.col("popularity_tier").alias("tier"))
     s = samples(spark, sf_dir, "category", "province").join(p, "province", "left").select("id", F.coalesce("category", F.lit("")).alias("category"), F.coalesce("tier", F.lit(3)).alias("tier"))
+    s = cut(s, "records")  # read three times, in three narrow columns
     k = s.groupBy("category", "tier").agg(F.count("*").alias("observed"))
     k = cut(k.withColumn("weight", F.when(F.col("tier") == 1, STYLE.tiers[0]).when(F.col("tier") == 2, STYLE.tiers[1]).otherwise(STYLE.tiers[2])), "strata")
     quota = spark.createDataFrame(Q.final_quotas(k, ["category", "tier"], FINAL, FLOOR, CELL_CAP), "category string, tier int, quota long")

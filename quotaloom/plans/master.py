@@ -193,6 +193,23 @@ def master_coverage_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return provinces(spark, sf_dir).join(e, "name_current", "left").select("province_id", n.alias("landmarks"), (n >= 8).alias("enough"), "region")
 
 
+# What a complete master has.
+EXPECTED = {"provinces": 34, "legacy_aliases": 63}
+
+
+@query("expected_counts", with_views("prov", "alias", "ent") + """
+SELECT 'provinces' AS name, 34 AS expected, count(*) AS n, count(*) = 34 AS met FROM prov
+UNION ALL SELECT 'legacy_aliases', 63, count(DISTINCT alias), count(DISTINCT alias) = 63 FROM alias WHERE alias_type = 'legacy'
+UNION ALL SELECT 'provinces_without_entities', 0, count(*), count(*) = 0 FROM prov WHERE name_current NOT IN (SELECT province FROM ent WHERE province IS NOT NULL)""")
+def expected_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: counts against those of a complete master, and provinces without any entity."""
+    p = provinces(spark, sf_dir).select("name_current")
+    legacy = aliases(spark, sf_dir).filter("alias_type = 'legacy' and alias is not null").select("alias").distinct()
+    used = table(spark, sf_dir, "generate_small").filter("id is not null and entity_id is not null").select(F.col("province").alias("name_current"))
+    parts = {"provinces": (p, EXPECTED["provinces"]), "legacy_aliases": (legacy, EXPECTED["legacy_aliases"]), "provinces_without_entities": (p.join(used, "name_current", "left_anti"), 0)}
+    return R.union_all(*[d.agg(F.count("*").alias("n")).select(F.lit(k).alias("name"), F.lit(e).alias("expected"), "n", (F.col("n") == e).alias("met")) for k, (d, e) in parts.items()])
+
+
 _FK = [("ward_district", "wards", "district_id", "row_id", "districts"), ("ward_province", "wards", "province_id", "row_id", "provinces"),
        ("district_province", "districts", "province_id", "row_id", "provinces"), ("alias_province", "province_alias", "province_id", "row_id", "provinces"),
        ("lineitem_order", "lineitem", "l_orderkey", "l_linenumber", "orders"), ("order_customer", "orders", "o_custkey", "o_orderkey", "customer")]

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from quotaloom.functions import names as N
 from quotaloom.functions import numbers as D
+from quotaloom.functions import rubric
 from quotaloom.functions import templates as T
+from quotaloom.functions.tags import Rule, classify, mapped
 from quotaloom.operators import relational as R
 from quotaloom.plans.master import SUBCATEGORIES, entities, provinces, samples, wards, with_views
 from quotaloom.plans.registry import query, table
@@ -337,22 +339,58 @@ def top_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("register", "_b.head", (-F.col("_b.m")).alias("n"), F.round(share, 6).alias("share"), (share <= 0.08).alias("pass"))
 
 
-# Survey P7-P9: rules (key, value, category, subcategory, required value of the second key), first match wins.
-TAG_RULES = [("purchase", "k<20", "commercial", "bank"), ("purchase", "", "commercial", "hotel"), ("view", "k>=50", "landmark", "lake"), ("error", "", "public_facility", "hospital"), ("view", "", "poi_other", "park")]
+# Survey P7-P9: the tags are an event's type and a hundredth of its number k; the first matching rule wins.
+TAG_RULES = [
+    Rule("type", "purchase", "commercial", "bank", require={"tens": "1"}), Rule("type", "purchase", "commercial", "hotel", exclude={"tens": "9"}), Rule("type", "view", "landmark", "lake", exclude={"tens": "5"}),
+    Rule("type", "error", "public_facility", "hospital"), Rule("tens", "5", "poi_other", "park", exclude={"type": "click"}),
+]
+HIGHWAYS = {"1": "street", "2": "street", "3": "highway", "7": "alley"}
+_TAGS_SQL = "t AS (SELECT event_id, event_type AS type, (json_extract_string(props, '$.k')::INT // 10)::VARCHAR AS tens FROM events)"
 
 
-@query("tag_rules_first_match", """
-SELECT event_id, CASE WHEN event_type = 'purchase' AND k < 20 THEN 'bank' WHEN event_type = 'purchase' THEN 'hotel' WHEN event_type = 'view' AND k >= 50 THEN 'lake'
- WHEN event_type = 'error' THEN 'hospital' WHEN event_type = 'view' THEN 'park' END AS subcategory FROM (SELECT *, json_extract_string(props, '$.k')::INT AS k FROM events)
-WHERE event_type IN ('purchase', 'view', 'error')""")
-def tag_rules_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rules compile to one CASE, evaluated in the scan's stage."""
+def _rule_sql(r: Rule) -> str:
+    tests = [f"{r.key} = '{r.value}'", *(f"{k} = '{v}'" for k, v in r.require.items()), *(f"coalesce({k} <> '{v}', true)" for k, v in r.exclude.items())]
+    return " AND ".join(tests)
+
+
+def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.from_json("props", "map<string,int>")["k"]
-    tests = {"": F.lit(True), "k<20": k < 20, "k>=50": k >= 50}
-    rule = F.lit(None)
-    for kind, test, _, sub in reversed(TAG_RULES):
-        rule = F.when((F.col("event_type") == kind) & tests[test], sub).otherwise(rule)
-    return table(spark, sf_dir, "events").filter(F.col("event_type").isin(sorted({r[0] for r in TAG_RULES}))).select("event_id", rule.alias("subcategory"))
+    return table(spark, sf_dir, "events").select("event_id", F.create_map(F.lit("type"), F.col("event_type"), F.lit("tens"), F.floor(k / 10).cast("string")).alias("tags"))
+
+
+@query("tag_rules_first_match", f"WITH {_TAGS_SQL} SELECT * FROM (SELECT event_id, CASE " + " ".join(f"WHEN {_rule_sql(r)} THEN '{r.category}'" for r in TAG_RULES) + " END AS category, CASE "
+       + " ".join(f"WHEN {_rule_sql(r)} THEN '{r.subcategory}'" for r in TAG_RULES) + " END AS subcategory FROM t) WHERE category IS NOT NULL")
+def tag_rules_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules with required and excluded tags compile to one CASE, evaluated in the scan's stage."""
+    t = _tagged(spark, sf_dir).select("event_id", classify(F.col("tags"), TAG_RULES).alias("c")).filter("c is not null")
+    return t.select("event_id", "c.category", "c.subcategory")
+
+
+@query("highway_classes", f"WITH {_TAGS_SQL} SELECT event_id, CASE tens " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in HIGHWAYS.items()) + " END AS street_type FROM t WHERE tens IN " + _in(list(HIGHWAYS)))
+def highway_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A map from one tag to the type of a street."""
+    return _tagged(spark, sf_dir).select("event_id", mapped(F.col("tags"), "tens", HIGHWAYS).alias("street_type")).filter("street_type is not null")
+
+
+_R = rubric
+_TOKENS_SQL = "list_filter(string_split(regexp_replace(regexp_replace(text, '\\{[a-zA-Z_]+\\}|,', ' ', 'g'), '\\s+', ' ', 'g'), ' '), lambda t: t <> '')"
+
+
+def _says_sql(words: list[str], phrases: list[str]) -> str:
+    return "(" + " OR ".join([*([f"list_has_any(w, [{', '.join(repr(x) for x in words)}])"] if words else []), *(f"contains(text, '{p}')" for p in phrases)]) + ")"
+
+
+@query("rubric_report", with_views("samp") + f""", w AS (SELECT coalesce(register, '') AS register, text, {_TOKENS_SQL} AS w FROM samp WHERE text IS NOT NULL),
+f AS (SELECT register, w[1] AS head, {_says_sql(_R.HONORIFIC_WORDS, _R.HONORIFIC_PHRASES)} AS honorific, {_says_sql([], _R.THIRD_PARTY_PHRASES)} AS third_party, {_says_sql(_R.SLANG_WORDS, [])} AS slang, {_says_sql([], _R.DEVICE_PHRASES)} AS device FROM w),
+g AS (SELECT register, max(device::INT) AS d FROM f GROUP BY 1), h AS (SELECT max(n) AS n FROM (SELECT head, count(*) AS n FROM f WHERE head IS NOT NULL GROUP BY 1)),
+r AS (SELECT 'A1' AS rule, sum(honorific::INT) AS hits, count(*) AS total, sum(honorific::INT) = 0 AS ok FROM f UNION ALL SELECT 'A2', sum(third_party::INT), count(*), sum(third_party::INT) = 0 FROM f UNION ALL SELECT 'A4', sum(slang::INT), count(*), sum(slang::INT) = 0 FROM f
+ UNION ALL SELECT 'A6', sum(d), count(*), sum(d) = count(*) FROM g UNION ALL SELECT 'A7', coalesce(sum(honorific::INT), 0), count(*), coalesce(sum(honorific::INT), 0) = 0 FROM f WHERE register = 'formal'
+ UNION ALL SELECT 'C2', (SELECT n FROM h), count(*), (SELECT n FROM h) / count(*) <= {_R.TOP_HEAD_SHARE} FROM f)
+SELECT rule, CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END AS verdict, hits::BIGINT AS hits, total::BIGINT AS total FROM r""")
+def rubric_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six rules of the rubric over all texts."""
+    s = samples(spark, sf_dir, "register", "text").filter("text is not null").select(F.coalesce("register", F.lit("")).alias("register"), "text")
+    return rubric.report(s)
 
 
 @query("ingest_filter_pushdown", "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total FROM events WHERE event_type IN ('view', 'click') AND value > 10 GROUP BY 1")
