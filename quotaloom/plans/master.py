@@ -143,7 +143,8 @@ def duplicate_names_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     the 50; only their entities are ranked, with the limit of five below the shuffle."""
     e = entities(spark, sf_dir, "province", "entity")
     top = e.groupBy("province", "entity").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"), "province", "entity").limit(50)
-    of_top = e.join(top, e["province"].eqNullSafe(top["province"]) & e["entity"].eqNullSafe(top["entity"])).select(top["province"], top["entity"], "n", "entity_id")
+    top = top.select(F.col("province").alias("_p"), F.col("entity").alias("_e"), "n")
+    of_top = e.join(top, F.col("province").eqNullSafe(F.col("_p")) & F.col("entity").eqNullSafe(F.col("_e"))).select("province", "entity", "n", "entity_id")
     low = Y.keep_per_group(of_top, ["province", "entity"], ["entity_id"], 5)
     return low.groupBy("province", "entity", "n").agg(F.array_join(F.array_sort(F.collect_list("entity_id")), ",").alias("ids"))
 

@@ -58,14 +58,14 @@ def test_orphans_by_brute_force(spark):
 
 
 def test_water_fill():
-    got = quota.water_fill({"a": 90, "b": 5, "c": 5}, 0.0, 0.6)
-    assert got["a"] == pytest.approx(0.6) and sum(got.values()) == pytest.approx(1)
-    got = quota.water_fill({"a": 100, "b": 100, "c": 0.001}, 0.1, 1.0)
-    assert got["c"] == pytest.approx(0.1) and sum(got.values()) == pytest.approx(1)
-    assert quota.water_fill({"a": 0, "b": 0}, 0.0, 1.0) == {"a": 0.5, "b": 0.5}
-    for bad in (({"a": 1, "b": 1, "c": 1}, 0.4, 1.0), ({"a": 1, "b": 1}, 0.0, 0.4), ({}, 0, 1)):
+    got = quota.water_fill({"a": 70, "b": 20, "c": 10}, 0.0, 0.5)
+    assert got == pytest.approx({"a": 0.5, "b": 1 / 3, "c": 1 / 6})
+    got = quota.water_fill({"x": 60, "y": 39, "z": 1}, 0.07, 0.9)
+    assert got == pytest.approx({"x": 0.93 * 60 / 99, "y": 0.93 * 39 / 99, "z": 0.07})
+    assert quota.water_fill({"k": 0, "l": 0, "m": 0, "n": 0}, 0.0, 1.0) == dict.fromkeys("klmn", 0.25)
+    for weights, low, high in (({"a": 3, "b": 2, "c": 2, "d": 1}, 0.3, 1.0), ({"a": 3, "b": 2, "c": 1}, 0.0, 0.3), ({}, 0, 1)):
         with pytest.raises(ValueError):
-            quota.water_fill(*bad)
+            quota.water_fill(weights, low, high)
 
 
 def test_fit_meets_both_margins():
