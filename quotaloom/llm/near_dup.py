@@ -170,6 +170,9 @@ def _classes(rows: DataFrame, width: int) -> DataFrame:
 def _told_apart(classed: DataFrame) -> DataFrame:
     """The classes, where different sets share one hash numbered by the other; such classes are next to none."""
     shared = classed.groupBy(F.col("cls").alias("_cls")).agg(F.min("twin").alias("_low"), F.max("twin").alias("_high")).filter("_low <> _high").select("_cls", "_low")
+    shared = cut(shared, "shared")
+    if shared.isEmpty():  # then no text is shuffled for it
+        return classed.drop("twin")
     both = classed.join(shared, F.col("cls") == F.col("_cls"), "left")
     return both.withColumn("cls", F.when(F.col("_low").isNull() | (F.col("twin") == F.col("_low")), F.col("cls")).otherwise(F.xxhash64("cls", "twin"))).drop("_cls", "_low", "twin")
 
